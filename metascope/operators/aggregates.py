@@ -55,26 +55,25 @@ def failures_per_machine(machines: DataFrame, failed: DataFrame, include_none: b
     return joined.select("name", "arn", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def run_summary(machines: DataFrame, plan: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
+def run_summary(machines: DataFrame, plan: DataFrame) -> DataFrame:
     """One row: machines checked, failures found, and what became of them.
 
-    Without ``outcomes`` it is a dry run, and all failures would be retried.
+    A plan with outcomes is counted as run; one without is a dry run, in which
+    all failures would be retried.
     """
-    zero = F.lit(0).cast("bigint")
-
-    def tally(df, machine=zero, failed=zero, retried=zero):
-        return df.select(machine.alias("machine"), failed.alias("failed"), retried.alias("retried"))
-
-    one = F.lit(1).cast("bigint")
-    parts = tally(machines, machine=one).unionAll(tally(plan, failed=one))
-    if outcomes is not None:
-        parts = parts.unionAll(tally(outcomes, retried=F.col("retry_started").cast("bigint")))
-    totals = parts.agg(
-        F.coalesce(F.sum("machine"), zero).alias("machines_checked"),
-        F.coalesce(F.sum("failed"), zero).alias("failed_found"),
-        F.coalesce(F.sum("retried"), zero).alias("retried"),
+    dry = "retry_started" not in plan.columns
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    retried = zero if dry else F.col("retry_started").cast("bigint")
+    rows = machines.select(one.alias("machine"), zero.alias("failed"), zero.alias("retried")).unionAll(
+        plan.select(zero, one, retried)
     )
-    if outcomes is None:
+    totals = rows.agg(
+        *[
+            F.coalesce(F.sum(column), zero).alias(name)
+            for column, name in (("machine", "machines_checked"), ("failed", "failed_found"), ("retried", "retried"))
+        ]
+    )
+    if dry:
         return totals.select("machines_checked", "failed_found", F.col("failed_found").alias("would_retry"))
     return totals.withColumn("failed_to_retry", F.col("failed_found") - F.col("retried"))
 

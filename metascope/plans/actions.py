@@ -19,18 +19,25 @@ RERUN_COMMAND = """aws stepfunctions start-execution \\
 def retry_plan(
     machines: DataFrame,
     executions: DataFrame,
-    inputs: DataFrame,
+    inputs: DataFrame | None,
     prefix: str = "",
     days: int = 7,
     *,
     as_of: Instant,
 ) -> DataFrame:
-    """Failed executions of the machines under a prefix, each of which would be retried."""
-    failed = listings.failed_executions(executions, inputs, days=days, as_of=as_of)
-    return lookups.machines_with_failures(machines, failed, prefix).select(
+    """Failed executions of the machines under a prefix, each of which would be retried.
+
+    Inputs are looked up last, for the executions that are left.  Without
+    ``inputs`` the plan can still be counted.
+    """
+    failed = listings.recent_failures(executions, days=days, as_of=as_of)
+    found = lookups.machines_with_failures(machines, failed, prefix)
+    if inputs is not None:
+        found = listings.with_inputs(found, inputs)
+    return found.select(
         F.col("execution_arn").alias("original_execution"),
         F.lit(True).alias("would_retry"),
-        "input",
+        *(["input"] if inputs is not None else []),
         "name",
         "machine_name",
         "machine_arn",

@@ -290,23 +290,36 @@ def state_machines(
     )
 
 
-def failed_executions(
-    raw: DataFrame,
-    inputs: DataFrame,
-    *,
-    machine_arn: str | None = None,
-    days: int = 7,
-    as_of: Instant,
+def recent_failures(
+    raw: DataFrame, *, machine_arn: str | None = None, days: int = 7, as_of: Instant
 ) -> DataFrame:
-    """Failed executions of the last ``days`` days (cutoff excluded) with their input."""
+    """Failed executions of the last ``days`` days, cutoff excluded, without their input."""
     df = filters.equals(raw, "stateMachineArn", machine_arn)
     df = filters.equals(df, "status", "FAILED")
-    df = filters.after(df, "startDate", days, as_of)
-    df = lookups.with_details(df.drop("input"), inputs.select("executionArn", "input"), "executionArn")
-    return df.select(
+    return filters.after(df, "startDate", days, as_of).select(
         F.col("executionArn").alias("execution_arn"),
         "name",
         F.col("startDate").alias("start_date"),
-        default("input", "{}").alias("input"),
         F.col("stateMachineArn").alias("machine_arn"),
     )
+
+
+def with_inputs(executions: DataFrame, inputs: DataFrame) -> DataFrame:
+    """Executions with their input, ``{}`` where it has none.
+
+    Inputs are the widest data here: filter and join the executions first.
+    """
+    texts = inputs.select(F.col("executionArn").alias("execution_arn"), default("input", "{}").alias("input"))
+    return lookups.with_details(executions, texts, "execution_arn")
+
+
+def failed_executions(
+    raw: DataFrame,
+    inputs: DataFrame,
+    *,
+    machine_arn: str | None = None,
+    days: int = 7,
+    as_of: Instant,
+) -> DataFrame:
+    """Failed executions of the last ``days`` days with their input."""
+    return with_inputs(recent_failures(raw, machine_arn=machine_arn, days=days, as_of=as_of), inputs)

@@ -88,7 +88,7 @@ def _failures(join: str) -> str:
 
 
 def failed(fx):
-    return listings.failed_executions(fx.raw_executions, fx.execution_inputs, as_of=EVENTS_AS_OF)
+    return listings.recent_failures(fx.raw_executions, as_of=EVENTS_AS_OF)
 
 
 @query("agg7_failures_per_machine", _failures("inner"))
@@ -108,7 +108,7 @@ PLAN = f"""(select e.execution_arn as original_execution from {MACHINES} m join
 
 def machines_and_plan(fx):
     machines = listings.state_machines(fx.raw_state_machines)
-    plan = actions.retry_plan(machines, fx.raw_executions, fx.execution_inputs, "wf-0", as_of=EVENTS_AS_OF)
+    plan = actions.retry_plan(machines, fx.raw_executions, None, "wf-0", as_of=EVENTS_AS_OF)
     return filters.prefix(machines, "name", "wf-0"), plan
 
 
@@ -121,7 +121,7 @@ def machines_and_plan(fx):
 )
 def _(fx):
     machines, plan = machines_and_plan(fx)
-    return a.run_summary(machines, plan, actions.retry_outcomes(plan, fx.view("retry_attempts")))
+    return a.run_summary(machines, actions.retry_outcomes(plan, fx.view("retry_attempts")))
 
 
 @query(

@@ -137,14 +137,14 @@ def _gated(fx, job_prefix: str):
     return lookups.gated_tables(tables, listings.jobs(fx.raw_jobs), runs, job_prefix, "red")
 
 
-@query("jn6_gate_open", _gate("household-11"))
+@query("jn6_gate_open", _gate("building-1"))
 def _(fx):
-    return _gated(fx, "household-11")
+    return _gated(fx, "building-1")
 
 
-@query("jn6_gate_shut", _gate("building-1"))
+@query("jn6_gate_shut", _gate("household-11"))
 def _(fx):
-    return _gated(fx, "building-1")
+    return _gated(fx, "household-11")
 
 
 @query(

@@ -171,12 +171,12 @@ def _(fx):
 
 def _export(kind: str) -> str:
     return f"""select name as {kind}_job_name, status, {iso("creation_time")}, {iso("end_time")} from ml_jobs
-        where type = '{kind}' and contains(name, 'v2-1') and creation_time >= timestamp '2024-01-24'"""
+        where type = '{kind}' and contains(name, 'v2-8') and creation_time >= timestamp '2024-01-24'"""
 
 
 @query("src9_training_jobs_export", _export("training"))
 def _(fx):
-    return exports.training_jobs(fx.raw_ml_jobs("training"), "v2-1", as_of=EVENTS_AS_OF)
+    return exports.training_jobs(fx.raw_ml_jobs("training"), "v2-8", as_of=EVENTS_AS_OF)
 
 
 @query(
@@ -189,7 +189,7 @@ def _(fx):
 
 @query("src11_processing_jobs_export", _export("processing"))
 def _(fx):
-    return exports.processing_jobs(fx.raw_ml_jobs("processing"), "v2-1", as_of=EVENTS_AS_OF)
+    return exports.processing_jobs(fx.raw_ml_jobs("processing"), "v2-8", as_of=EVENTS_AS_OF)
 
 
 @query(
