@@ -49,7 +49,7 @@ VIEWS: dict[str, str] = {
           {_days_back("c_custkey")} as created_on
         from customer""",
     "job_runs": """
-        select j.name as job_name, cast(o.o_orderkey as string) as id,
+        select j.name as job_name, lpad(cast(o.o_orderkey as string),12,'0') as id,
           case o_orderstatus when 'F' then 'FAILED' when 'O' then 'RUNNING' else 'SUCCEEDED' end as status,
           case when o_orderkey % 97 = 0 then null else o_orderdate end as started_on,
           cast(floor(o_totalprice/100) as bigint) as execution_time

@@ -145,14 +145,28 @@ def first_element(array: str | Column) -> Column:
     return F.get(col(array), F.lit(0))
 
 
+def _json_value(text: Column) -> Column:
+    """The one JSON value that the text spells, else NULL.
+
+    The parser ignores what follows a complete value.  Wrapped once as the only
+    element of an array and once as the only field of an object, text after the
+    value breaks one of the two.
+    """
+    element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    alone = F.try_variant_get(element, "$[1]", "variant").isNull() & field.isNotNull()
+    return F.when(alone, F.try_variant_get(element, "$[0]", "variant"))
+
+
 def is_json(text: str | Column) -> Column:
-    return F.try_parse_json(F.coalesce(col(text), F.lit("{}"))).isNotNull()
+    """Whether the text is one JSON value; missing text counts as ``{}``."""
+    return _json_value(F.coalesce(col(text), F.lit("{}"))).isNotNull()
 
 
 def json_text(text: str | Column) -> Column:
     """Compact JSON for valid input, the raw text for invalid, ``{}`` for missing."""
     raw = F.coalesce(col(text), F.lit("{}"))
-    return F.coalesce(F.to_json(F.try_parse_json(raw)), raw)
+    return F.coalesce(F.to_json(_json_value(raw)), raw)
 
 
 def gib(size: str | Column) -> Column:

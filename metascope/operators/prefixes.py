@@ -23,8 +23,12 @@ def cut_at_lengths(df: DataFrame, column: str, prefixes: DataFrame, into: str =
 
 
 def counts_by_prefix(df: DataFrame, column: str, prefixes: DataFrame) -> DataFrame:
-    """Number of rows under each listed prefix, 0 included."""
-    listed = prefixes.select("prefix").filter(F.col("prefix").isNotNull()).distinct()
+    """Number of rows under each listed prefix, 0 included.
+
+    The semi join takes the list as it is, duplicates and all: a side that is
+    an aggregate would keep Spark from splitting a hot prefix.
+    """
+    listed = prefixes.select("prefix").filter(F.col("prefix").isNotNull())
     cut = cut_at_lengths(df.select(column), column, listed).select("prefix")
     counts = cut.join(listed, "prefix", "left_semi").groupBy("prefix").agg(F.count("*").alias("n"))
-    return listed.join(counts, "prefix", "left").select("prefix", F.coalesce("n", F.lit(0)).alias("n"))
+    return listed.distinct().join(counts, "prefix", "left").select("prefix", F.coalesce("n", F.lit(0)).alias("n"))

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # JSON objects with a repeated key are valid; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -17,15 +17,17 @@ def _records(pages: DataFrame, entity: str, envelope: str) -> DataFrame:
     return rows.select(*context, "record.*")
 
 
-def read_pages(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Records of all page files under ``path``.
+def read_pages(spark: SparkSession, path: str, entity: str, nested: bool = False) -> DataFrame:
+    """Records of all page files in ``path``.
 
-    The schema is fixed, so nothing is scanned to infer it.  Folder partitions
-    such as ``bucket=logs/`` become columns and prune the scan.  A page without
-    the envelope field has no records.
+    The schema is fixed, so nothing is scanned to infer it.  Folders named like
+    ``bucket=logs/`` become columns and prune the scan; other subfolders are
+    read only with ``nested``, which gives up those columns.  A page without the
+    envelope field has no records.
     """
     field, record = ENVELOPES[entity]
-    return _records(spark.read.schema(f"{field} array<{record}>").json(path), entity, field)
+    reader = spark.read.schema(f"{field} array<{record}>").option("recursiveFileLookup", str(nested).lower())
+    return _records(reader.json(path), entity, field)
 
 
 def records_of(pages: DataFrame, entity: str, text: str = "value") -> DataFrame:

@@ -1,0 +1,197 @@
+"""Scalar functions: literals, columns, and that the two agree."""
+
+import json
+from datetime import UTC, datetime, timedelta, timezone
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from metascope.functions import columns as C
+from metascope.functions import literals as L
+
+AS_OF = "2024-03-01T12:00:00Z"
+NOW = datetime(2024, 3, 1, 12, tzinfo=UTC)
+
+
+def values(spark, texts, function):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i int, t string")
+    return [r["v"] for r in df.select("i", function("t").alias("v")).orderBy("i").collect()]
+
+
+SIZES = {
+    "1MB": 1024**2,
+    "10kb": 10240,
+    "1.5GB": 1610612736,
+    "2TB": 2 * 1024**4,
+    "100B": 100,
+    "0B": 0,
+    " 7 ": 7,
+    "1.0001KB": 1024,
+    "9007199254740993": 9007199254740993,
+    ".5KB": 512,
+    "1e3KB": 1024000,
+}
+
+
+def test_sizes(spark):
+    assert [L.size(t) for t in SIZES] == list(SIZES.values())
+    assert values(spark, SIZES, C.size_bytes) == list(SIZES.values())
+
+
+BAD_SIZES = ["", "MB", "1.5", "1 parsec", "KB1", "1KB2", "--1", "one"]
+
+
+def test_bad_sizes(spark):
+    for text in BAD_SIZES:
+        with pytest.raises(ValueError):
+            L.size(text)
+    assert values(spark, [*BAD_SIZES, None, "1e30TB", "99999999999999999999"], C.size_bytes) == [None] * 11
+
+
+TIMES = {
+    "1 minute ago": NOW - timedelta(minutes=1),
+    "2 Hours Ago": NOW - timedelta(hours=2),
+    " 3 days  ago ": NOW - timedelta(days=3),
+    "4 weeks ago": NOW - timedelta(weeks=4),
+    "0 days ago": NOW,
+    "2024-02-29": datetime(2024, 2, 29, tzinfo=UTC),
+    "2024-02-29T01:02:03": datetime(2024, 2, 29, 1, 2, 3, tzinfo=UTC),
+    "2024-02-29 01:02:03.000004": datetime(2024, 2, 29, 1, 2, 3, 4, tzinfo=UTC),
+    "2024-02-29T01:02:03Z": datetime(2024, 2, 29, 1, 2, 3, tzinfo=UTC),
+    "2024-02-29T01:02:03+02:00": datetime(2024, 2, 28, 23, 2, 3, tzinfo=UTC),
+}
+
+
+def epoch(function):
+    return lambda t: F.unix_micros(function(t))
+
+
+def micros(moment):
+    return (moment - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
+
+
+def test_time_bounds(spark):
+    assert [L.time_bound(t, AS_OF) for t in TIMES] == list(TIMES.values())
+    found = values(spark, TIMES, epoch(lambda t: C.time_bound(t, AS_OF)))
+    assert found == [micros(v) for v in TIMES.values()]
+
+
+BAD_TIMES = ["", "yesterday", "2 fortnights ago", "ago", "2 ago", "2024-02-30", "2024-13-01", "x days ago", "2024"]
+
+
+def test_bad_times(spark):
+    for text in BAD_TIMES[:-1]:
+        with pytest.raises(ValueError):
+            L.time_bound(text, AS_OF)
+    too_far = "99999999999999 weeks ago"
+    assert values(spark, [*BAD_TIMES, None, too_far], lambda t: C.time_bound(t, AS_OF)) == [None] * 11
+    with pytest.raises(ValueError):
+        L.time_bound("1 day ago")
+
+
+def test_instants_are_utc():
+    east = timezone(timedelta(hours=2))
+    assert L.instant(datetime(2024, 3, 1, 14, tzinfo=east)) == L.instant("2024-03-01 12:00:00") == NOW
+
+
+def test_iso_text(spark):
+    texts = ["2024-03-01T12:00:00+00:00", "2024-03-01T12:00:00.000120+00:00", "1969-12-31T23:59:59.999999+00:00"]
+    assert values(spark, texts, lambda t: C.iso_text(C.iso_parse(t))) == texts
+    assert texts == [datetime.fromisoformat(t).isoformat() for t in texts]
+
+
+TAGS = {
+    "Env=prod,Team=x": {"Env": "prod", "Team": "x"},
+    " Env = prod , junk,Team=a=b ": {"Env": "prod", "Team": "a=b"},
+    "k=1,k=2,j=0,k=3": {"k": "3", "j": "0"},
+    "=v,k=": {"": "v", "k": ""},
+    "": {},
+    "junk": {},
+}
+
+
+def test_tag_text(spark):
+    assert [L.tag_pairs(t) for t in TAGS] == list(TAGS.values())
+    assert values(spark, TAGS, C.tag_map) == list(TAGS.values())
+    assert values(spark, [None], C.tag_map) == [{}]
+    assert L.tag_pairs([" k = v ", "junk"], trim=False) == {" k ": " v "}
+    assert values(spark, [" k = v "], lambda t: C.tag_map(t, trim=False)) == [{" k ": " v "}]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="kq=, 1", max_size=14), min_size=1, max_size=40))
+def test_tag_text_agrees(spark, texts):
+    assert values(spark, texts, C.tag_map) == [L.tag_pairs(t) for t in texts]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.from_regex(r"\A[0-9]{1,4}(\.[0-9]{0,3})? ?([KMGT]?B|[kmg]b|)\Z"), min_size=1, max_size=40))
+def test_size_text_agrees(spark, texts):
+    def literal(text):
+        try:
+            return L.size(text)
+        except ValueError:
+            return None
+
+    assert values(spark, texts, C.size_bytes) == [literal(t) for t in texts]
+
+
+def test_lists_keep_blanks():
+    assert L.comma_list("A, B,,c") == ["A", "B", "", "c"]
+    assert L.comma_list("") == L.comma_list(None) == []
+
+
+def test_text_parts(spark):
+    assert values(spark, ["a.b.C", "C", "", None, "a."], C.last_segment) == ["C", "C", "", "", ""]
+    assert values(spark, ["a-b-c", "abc", "-b", None], C.first_token) == ["a", "abc", "", None]
+    assert values(spark, ['"x"', 'x"y', '""', None], C.unquote) == ["x", 'x"y', "", ""]
+
+
+JSON = {
+    '{"a": 1, "b": [true, null]}': '{"a":1,"b":[true,null]}',
+    " [1, 2] ": "[1,2]",
+    "3": "3",
+    "null": "null",
+    '"x"': '"x"',
+    '{"a": 1, "a": 2}': '{"a":2}',
+}
+NOT_JSON = ["raw", '{"a": 1} x', "{'a': 1}", "", "1, 2", "1],[2", '1},{"v":2', '1}],[{"v":2', "1,", "[1", '1, "w": 2']
+
+
+def test_json(spark):
+    for text, valid in [*((t, True) for t in JSON), *((t, False) for t in NOT_JSON)]:
+        try:
+            json.loads(text)
+            assert valid
+        except ValueError:
+            assert not valid
+    assert values(spark, JSON, C.is_json) == [True] * len(JSON)
+    assert values(spark, JSON, C.json_text) == list(JSON.values())
+    assert values(spark, NOT_JSON, C.is_json) == [False] * len(NOT_JSON)
+    assert values(spark, NOT_JSON, C.json_text) == NOT_JSON
+    assert values(spark, [None], C.json_text) == ["{}"]
+
+
+def test_whole_seconds_are_cut_toward_zero(spark):
+    df = spark.sql(
+        "select timestamp'2024-01-01 00:00:00.9' s, explode(array(timestamp'2024-01-01 00:00:02.8', "
+        "timestamp'2024-01-01 00:00:00', timestamp'2023-12-31 23:59:59', null)) e"
+    )
+    assert [r[0] for r in df.select(C.whole_seconds("s", "e")).collect()] == [1, 0, -1, None]
+
+
+def test_table_size_goes_by_presence(spark):
+    df = spark.sql(
+        "select explode(array(map('totalSize','5','rawDataSize','9'), map('rawDataSize','9'), "
+        "map('totalSize','bad','rawDataSize','9'), map('totalSize',' 5 '), map('x','1'), null)) m"
+    )
+    assert [r[0] for r in df.select(C.table_size("m")).collect()] == [5, 9, None, 5, None, None]
+
+
+def test_arrays(spark):
+    df = spark.sql("select explode(array(array(7,8), array(), null)) a")
+    assert [r[0] for r in df.select(C.first_element("a")).collect()] == [7, None, None]
+    assert [r[0] for r in df.select(C.cardinality("a")).collect()] == [2, 0, 0]
