@@ -176,16 +176,20 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """A test table whose times are read as instants, so filters on them reach the scan."""
+        if name in self._tables:
+            return self._tables[name]
         path = f"{self.sf_dir}/{name}.parquet"
         found = self.spark.read.parquet(path).schema
         fields = [
             T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
             for f in found
         ]
-        return self.spark.read.schema(T.StructType(fields)).parquet(path)
+        self._tables[name] = self.spark.read.schema(T.StructType(fields)).parquet(path)
+        return self._tables[name]
 
     def sql(self, text: str) -> DataFrame:
         """The result of SQL over views and tables."""

@@ -24,15 +24,18 @@ def _strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_BLANKS))
 
 
+def _factor(units: dict[str, int], unit: Column) -> Column:
+    """The number listed for a unit; one lookup in a constant map."""
+    pairs = [F.lit(x) for name, n in units.items() for x in (name, n)]
+    return F.try_element_at(F.create_map(*pairs).cast("map<string,bigint>"), unit)
+
+
 def size_bytes(text: str | Column) -> Column:
     """``10KB``-like text to bytes; malformed text and overflow become NULL."""
     clean = F.upper(_strip(col(text)))
     number = F.regexp_extract(clean, SIZE_PATTERN, 1)
     unit = F.regexp_extract(clean, SIZE_PATTERN, 2)
-    factor = F.lit(None).cast("bigint")
-    for name, value in SIZE_UNITS.items():
-        factor = F.when(unit == name, F.lit(value).cast("bigint")).otherwise(factor)
-    scaled = (number.try_cast("double") * factor).try_cast("bigint")
+    scaled = (number.try_cast("double") * _factor(SIZE_UNITS, unit)).try_cast("bigint")
     return F.when(unit == "", number.try_cast("bigint")).otherwise(scaled)
 
 
@@ -40,10 +43,7 @@ def time_bound(text: str | Column, as_of: Instant | Column) -> Column:
     """ISO text, or ``N units ago`` before ``as_of``, to a timestamp; else NULL."""
     clean = F.lower(_strip(col(text)))
     amount = F.regexp_extract(clean, AGO_PATTERN, 1).try_cast("bigint")
-    unit = F.regexp_extract(clean, AGO_PATTERN, 2)
-    micros = F.lit(None).cast("bigint")
-    for name, seconds in TIME_UNITS.items():
-        micros = F.when(unit == name, F.lit(seconds * 1_000_000).cast("bigint")).otherwise(micros)
+    micros = _factor({name: s * 1_000_000 for name, s in TIME_UNITS.items()}, F.regexp_extract(clean, AGO_PATTERN, 2))
     relative = F.timestamp_micros(F.try_subtract(F.unix_micros(at(as_of)), F.try_multiply(amount, micros)))
     return F.coalesce(relative, iso_parse(text))
 

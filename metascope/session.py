@@ -16,15 +16,25 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A top-k of more rows than this is sorted and cut instead of held in memory.
+    "spark.sql.execution.topKSortFallbackThreshold": "1000000",
     # JSON objects with a repeated key are valid; the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
+# Spark's estimate of a side must be below this for it to be broadcast.  It is
+# raised from Spark's default only, never over a value somebody chose.
+BROADCAST_CONF = "spark.sql.autoBroadcastJoinThreshold"
+BROADCAST_DEFAULT, BROADCAST_LIMIT = "10485760b", "32MB"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session and return it."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if spark.conf.get(BROADCAST_CONF) == BROADCAST_DEFAULT:
+        spark.conf.set(BROADCAST_CONF, BROADCAST_LIMIT)
     return spark
 
 

@@ -23,15 +23,22 @@ def save_table(
     *,
     path: str | None = None,
     partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
     bucket_by: tuple[int, str] | None = None,
 ) -> DataFrame:
     """Creates or replaces a table and returns it.
 
     ``partition_by`` suits columns that are filtered on and have few values (a
-    bucket, a snapshot date).  ``bucket_by`` (number, column) stores rows by a
-    join key: runs bucketed by job name need no shuffle to find the last one.
-    With ``path`` the data lies there, else in the warehouse.
+    bucket, a snapshot date).  ``cluster_by`` sorts the rows into ranges of
+    equal size, so that filters on prefixes and bounds skip most files; give it
+    unique columns, e.g. bucket and key, and a hot bucket fills many files.
+    ``bucket_by`` (number, column) stores rows by a *unique* join key, such as
+    an execution's ARN, and joins on it need no shuffle; a hot key would end up
+    in one file and one task.  With ``path`` the data lies there, else in the
+    warehouse.
     """
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

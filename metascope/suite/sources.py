@@ -19,12 +19,15 @@ STORED = "coalesce(storage_class, 'STANDARD') as storage_class"
         coalesce(owner_name, '') as owner from objects""",
 )
 def _(fx):
-    """Lands the inventory as JSON pages, one per order and one empty per bucket, and reads them back."""
+    """Lands the inventory as JSON pages and reads them back.
+
+    A page holds the items of 200 orders of a bucket, which are 1,400 at most;
+    one page per bucket has no records.
+    """
     raw = fx.raw_objects
     record = F.struct(*[c for c in raw.columns if c != "bucket"])
-    full = raw.groupBy("bucket", F.split_part("Key", F.lit("/"), F.lit(2)).alias("page")).agg(
-        F.collect_list(record).alias("Contents")
-    )
+    page = F.floor(F.split_part("Key", F.lit("/"), F.lit(2)).cast("bigint") / 200)
+    full = raw.groupBy("bucket", page.alias("page")).agg(F.collect_list(record).alias("Contents"))
     landed = full.select("bucket", F.to_json(F.struct("Contents")).alias("value"))
     empty = raw.select("bucket").distinct().withColumn("value", F.lit('{"KeyCount":0}'))
     path = work_dir(fx.spark, "pages")

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from metascope.session import work_dir
+from metascope.session import tune, work_dir
 from metascope.sinks import files, tables
 from metascope.streaming import records
 
@@ -75,18 +75,34 @@ def test_table_names(rows, name):
         tables.save_table(rows, name)
 
 
-def test_bucketed_runs_are_not_shuffled(spark):
-    from metascope.operators.lookups import latest_runs
+def test_bucketed_tables_join_without_shuffle(spark):
+    from metascope.sources.listings import with_inputs
 
-    df = spark.sql(
-        "select concat('j', id % 7) job_name, cast(id as string) id, 's' status, timestamp'2024-01-01' started_on, "
-        "id execution_time from range(100)"
-    )
-    saved = tables.save_table(df, "bucketed_runs", bucket_by=(4, "job_name"))
-    latest = latest_runs(saved)
-    assert latest.count() == 7
-    assert "Exchange" not in latest._jdf.queryExecution().executedPlan().toString()
-    spark.sql("drop table bucketed_runs")
+    ids = spark.range(100).select(F.concat(F.lit("e"), "id").alias("execution_arn"))
+    executions = tables.save_table(ids, "bucketed_executions", bucket_by=(4, "execution_arn"))
+    texts = ids.select(F.col("execution_arn").alias("executionArn"), F.lit("{}").alias("input"))
+    inputs = tables.save_table(texts, "bucketed_inputs", bucket_by=(4, "executionArn"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = with_inputs(executions, inputs)
+    assert joined.count() == 100
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("bucketed_executions", "bucketed_inputs"):
+        spark.sql(f"drop table {name}")
+
+
+def test_clustered_table_splits_a_hot_bucket(spark):
+    key = F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 5, "0"))
+    bucket = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 50))
+    df = spark.range(9000).select(bucket.alias("bucket"), key.alias("key"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    saved = tables.save_table(df, "clustered", partition_by=["bucket"], cluster_by=["bucket", "key"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = saved.filter("bucket = 'hot'").groupBy(F.input_file_name().alias("f")).agg(F.min("key"), F.max("key"), F.count("*"))
+    files = sorted(tuple(r)[1:] for r in hot.collect())
+    assert len(files) > 1 and sum(f[2] for f in files) == 3000
+    assert all(a[1] < b[0] for a, b in zip(files, files[1:]))
+    spark.sql("drop table clustered")
 
 
 def test_export_under_default_name(spark):
@@ -106,6 +122,15 @@ def test_work_dir_follows_the_session(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_a_chosen_broadcast_threshold_is_kept(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.unset(key)
+    assert tune(spark).conf.get(key) == "32MB"
+    spark.conf.set(key, "-1")
+    assert tune(spark).conf.get(key) == "-1"
+    spark.conf.unset(key)
+
+
 # Person records
 
 
