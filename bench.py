@@ -36,7 +36,6 @@ HEADLINES = (
     "sc11_json_text",
     "act1_retry_plan",
     "act7_object_rules",
-    "src0_page_envelopes",
     "snk1_table",
     "str2_stream_ingest",
 )

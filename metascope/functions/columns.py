@@ -33,10 +33,13 @@ def _factor(units: dict[str, int], unit: Column) -> Column:
 def size_bytes(text: str | Column) -> Column:
     """``10KB``-like text to bytes; malformed text and overflow become NULL."""
     clean = F.upper(_strip(col(text)))
-    number = F.regexp_extract(clean, SIZE_PATTERN, 1)
     unit = F.regexp_extract(clean, SIZE_PATTERN, 2)
+    # A unit is found only in a well-formed size, so what precedes it is a number.
+    number = F.substr(clean, F.lit(1), F.length(clean) - F.length(unit))
     scaled = (number.try_cast("double") * _factor(SIZE_UNITS, unit)).try_cast("bigint")
-    return F.when(unit == "", number.try_cast("bigint")).otherwise(scaled)
+    # NULL without a unit.  As the first operand it is always evaluated, so the
+    # regex, which occurs twice in it, runs once.
+    return F.coalesce(scaled, clean.try_cast("bigint"))
 
 
 def time_bound(text: str | Column, as_of: Instant | Column) -> Column:
@@ -145,28 +148,32 @@ def first_element(array: str | Column) -> Column:
     return F.get(col(array), F.lit(0))
 
 
-def _json_value(text: Column) -> Column:
-    """The one JSON value that the text spells, else NULL.
+def _json_value(text: Column) -> tuple[Column, Column]:
+    """The first JSON value in the text, and whether the text is that value and no more.
 
     The parser ignores what follows a complete value.  Wrapped once as the only
     element of an array and once as the only field of an object, text after the
     value breaks one of the two.
     """
-    element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    elements = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     field = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    alone = F.try_variant_get(element, "$[1]", "variant").isNull() & field.isNotNull()
-    return F.when(alone, F.try_variant_get(element, "$[0]", "variant"))
+    value = F.try_variant_get(elements, "$[0]", "variant")
+    more = F.try_variant_get(elements, "$[1]", "variant")
+    return value, value.isNotNull() & more.isNull() & field.isNotNull()
 
 
 def is_json(text: str | Column) -> Column:
     """Whether the text is one JSON value; missing text counts as ``{}``."""
-    return _json_value(F.coalesce(col(text), F.lit("{}"))).isNotNull()
+    _, valid = _json_value(F.coalesce(col(text), F.lit("{}")))
+    return valid
 
 
 def json_text(text: str | Column) -> Column:
     """Compact JSON for valid input, the raw text for invalid, ``{}`` for missing."""
     raw = F.coalesce(col(text), F.lit("{}"))
-    return F.coalesce(F.to_json(_json_value(raw)), raw)
+    value, valid = _json_value(raw)
+    # NULL if not valid; written so that both parses are evaluated once.
+    return F.coalesce(F.concat(F.to_json(value), F.when(valid, F.lit(""))), raw)
 
 
 def gib(size: str | Column) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import DETAILS, ENVELOPES, PLAIN_NAMES
 
@@ -17,17 +20,40 @@ def _records(pages: DataFrame, entity: str, envelope: str) -> DataFrame:
     return rows.select(*context, "record.*")
 
 
-def read_pages(spark: SparkSession, path: str, entity: str, nested: bool = False) -> DataFrame:
+def _envelope(entity: str, fields: Sequence[str] | None) -> T.StructType:
+    """Type of a page, its records cut down to ``fields``."""
+    field, record = ENVELOPES[entity]
+    kind = T.StructType.fromDDL(f"record {record}")["record"].dataType
+    if fields is not None:
+        if not isinstance(kind, T.StructType):
+            raise ValueError(f"records of {entity} have no fields")
+        kind = T.StructType([kind[f] for f in fields])
+    return T.StructType([T.StructField(field, T.ArrayType(kind))])
+
+
+def read_pages(
+    spark: SparkSession,
+    path: str,
+    entity: str,
+    *,
+    fields: Sequence[str] | None = None,
+    nested: bool = False,
+    multiline: bool = False,
+) -> DataFrame:
     """Records of all page files in ``path``.
 
-    The schema is fixed, so nothing is scanned to infer it.  Folders named like
-    ``bucket=logs/`` become columns and prune the scan; other subfolders are
-    read only with ``nested``, which gives up those columns.  A page without the
+    The schema is fixed, so nothing is scanned to infer it.  ``fields`` names the
+    record fields to parse: JSON arrays are not pruned by Spark, so name them
+    if a few suffice.  Folders named like ``bucket=logs/`` become columns and
+    prune the scan; other subfolders are read only with ``nested``, which gives
+    up those columns.  ``multiline`` reads one page per file, pretty-printed or
+    not, instead of one per line; such files are not split.  A page without the
     envelope field has no records.
     """
-    field, record = ENVELOPES[entity]
-    reader = spark.read.schema(f"{field} array<{record}>").option("recursiveFileLookup", str(nested).lower())
-    return _records(reader.json(path), entity, field)
+    reader = spark.read.schema(_envelope(entity, fields)).options(
+        recursiveFileLookup=str(nested).lower(), multiLine=str(multiline).lower()
+    )
+    return _records(reader.json(path), entity, ENVELOPES[entity][0])
 
 
 def records_of(pages: DataFrame, entity: str, text: str = "value") -> DataFrame:

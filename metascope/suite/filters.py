@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from ..fixtures import EVENTS_AS_OF, OBJECTS_AS_OF, RUNS_AS_OF
 from ..functions import columns as C
 from ..operators import filters as f
-from ..operators import ordering
+from ..operators import ordering, unions
 from ..operators.projection import default, labelled, project
 from ..sources import listings
-from .registry import iso, query
+from .registry import LATEST, iso, query
 
 
 @query("prj1_field_list", "select key, size, '' as nothing from objects")
@@ -67,6 +67,17 @@ def _(fx):
     return f.prefix(listings.objects(fx.raw_objects), "key", "F/1").select("bucket", "key")
 
 
+@query(
+    "flt1_instance_prefix",
+    """select type, name, instance_type from ml_jobs where type <> 'transform' and instance_type like 'ml.p3%'
+        union all select 'transform', name, instance_type from transform_jobs where instance_type like 'ml.p3%'""",
+)
+def _(fx):
+    """Model jobs of all types on one family of instances."""
+    parts = [listings.ml_jobs(k, fx.raw_ml_jobs(k), details=fx.ml_details(k)) for k in unions.ML_TYPES]
+    return f.prefix(unions.ml_jobs(*parts), "instance_type", "ml.p3").select("type", "name", "instance_type")
+
+
 @query("flt2_contains", "select name from ml_jobs where contains(name, 'v2-1')")
 def _(fx):
     return f.contains(fx.view("ml_jobs"), "name", "v2-1").select("name")
@@ -186,6 +197,17 @@ def _(fx):
     return f.above(jobs, "training_time_seconds", 3600).select("name", F.col("training_time_seconds").alias("seconds"))
 
 
+@query(
+    "flt14_long_running_jobs",
+    f"""select job_name as name, last_run_duration from {LATEST} r
+        where last_run_status = 'RUNNING' and last_run_duration > 3600""",
+)
+def _(fx):
+    runs = listings.all_job_runs(fx.raw_job_runs)
+    jobs = listings.jobs(fx.raw_jobs, status="RUNNING", runs=runs)
+    return f.above(jobs, "last_run_duration", 3600).select("name", "last_run_duration")
+
+
 @query("flt14_partitioned", "select table_name from catalog_tables where partition_count > 0")
 def _(fx):
     return f.above(fx.view("catalog_tables"), "partition_count", 0).select("table_name")

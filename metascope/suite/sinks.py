@@ -52,6 +52,17 @@ def _(fx):
     return reader.option("header", "true").option("escape", '"').csv(path)
 
 
+@query(
+    "snk4_storage_report",
+    """select key, cast(size as varchar) as size, coalesce(storage_class, 'STANDARD') as storage_class from objects
+        where bucket = 'N'""",
+)
+def _(fx):
+    path = work_dir(fx.spark, "report")
+    files.write_csv(listings.objects(fx.raw_objects, bucket="N"), path, "key,size,storage_class")
+    return fx.spark.read.schema("key string, size string, storage_class string").option("header", "true").csv(path)
+
+
 @query(
     "snk6_exports",
     """select 's3_objects' as table_name, count(*) as n from objects where bucket = 'A'

@@ -1,7 +1,5 @@
 """Comparison of a query's result with its oracle's."""
 
-import math
-
 import duckdb
 
 TABLES = (
@@ -18,9 +16,7 @@ def database(sf_dir: str):
 
 
 def _cell(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
-    return str(value)
+    return repr(value) if isinstance(value, float) else str(value)
 
 
 def rows_by_name(names: list[str], rows) -> tuple[list[str], list[tuple]]:

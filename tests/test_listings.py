@@ -63,6 +63,20 @@ def test_nested_folders(land):
     assert names(raw, "StreamName") == ["a"]
 
 
+def test_only_named_fields_are_parsed(land):
+    record = {"Key": "a", "Size": 1, "LastModified": DAY, "ETag": "x"}
+    raw = land("objects", {"Contents": [record]}, fields=["Key", "Size"])
+    assert raw.collect() == [("a", 1)]
+    with pytest.raises(ValueError):
+        land("streams", {"StreamNames": ["a"]}, fields=["Key"])
+
+
+def test_pretty_printed_pages(spark, tmp_path):
+    for i, name in enumerate("ab"):
+        (tmp_path / f"{i}.json").write_text(json.dumps({"StreamNames": [name]}, indent=2))
+    assert names(pages.read_pages(spark, str(tmp_path), "streams", multiline=True), "StreamName") == ["a", "b"]
+
+
 def test_pages_in_a_column(spark):
     text = spark.createDataFrame([('{"StreamNames": ["a", "b"]}',), ("{}",), ("broken",)], "value string")
     assert names(pages.records_of(text, "streams"), "StreamName") == ["a", "b"]

@@ -223,6 +223,18 @@ def test_rules(spark, broadcast):
     assert found == +want
 
 
+def test_rules_of_a_bucket(spark):
+    df = spark.createDataFrame(
+        [("x", "k", 1, when("2024-01-01")), ("y", "k", 1, when("2024-01-01"))],
+        "bucket string, key string, size bigint, last_modified timestamp",
+    )
+    table = spark.createDataFrame(
+        [("any", "k", None), ("one", "k", "y")], "rule_id string, prefix string, bucket string"
+    ).selectExpr("*", *[f"string(null) as {c}" for c in ("min_size", "max_size", "newer_than", "older_than")])
+    found = rules.match_rules(df, table, "2024-01-31").select("rule_id", "bucket").collect()
+    assert sorted(tuple(r) for r in found) == [("any", "x"), ("any", "y"), ("one", "y")]
+
+
 def test_no_rules(spark):
     _, df = inventory(spark, 10)
     empty = spark.createDataFrame(
