@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every operator here relies on.  Joins with a hot key are split by
 # AQE at run time; the force flag keeps that split even where an aggregate on
@@ -38,6 +38,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def would_broadcast(df: DataFrame) -> bool:
+    """Whether Spark, by its own estimate of the size, would broadcast ``df`` in a join."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 0 < estimate <= limit
+
+
 def build_session(app: str = "metascope", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A tuned session; ``conf`` adds or overrides settings."""
     builder = SparkSession.builder.appName(app)

@@ -176,16 +176,31 @@ def hot_objects(spark):
     )
 
 
-def test_hot_prefix_is_split_while_counting(spark, small_skew):
-    listed = spark.range(1000).select(F.concat("id", F.lit("/")).alias("prefix")).unionAll(
-        spark.createDataFrame([("hot/",)], "prefix string")
-    )
-    counts = prefixes.counts_by_prefix(hot_objects(spark), "key", listed)
-    assert "skew=true" in plan(counts, final=True)
+def listed_prefixes(spark):
+    names = spark.range(1000).select(F.concat("id", F.lit("/")).alias("prefix"))
+    return names.unionAll(spark.createDataFrame([("hot/",)], "prefix string"))
+
+
+def check_counts(counts):
     found = {r["prefix"]: r["n"] for r in counts.collect()}
     assert found["hot/"] == 13_334 and sum(found.values()) == 40_000 and found["999/"] == 0
 
 
+def test_prefixes_of_a_long_list_are_counted_before_the_join(spark, no_broadcast):
+    counts = prefixes.counts_by_prefix(hot_objects(spark), "key", listed_prefixes(spark))
+    text = plan(counts)
+    assert "LeftSemi" not in text and "partial_count" in text
+    check_counts(counts)
+
+
+def test_prefixes_of_a_short_list_are_dropped_before_the_shuffle(spark, tmp_path):
+    listed_prefixes(spark).write.parquet(str(tmp_path / "list"))
+    counts = prefixes.counts_by_prefix(hot_objects(spark), "key", spark.read.parquet(str(tmp_path / "list")))
+    text = plan(counts)
+    assert "LeftSemi, BuildRight" in text and text.index("partial_count") < text.index("LeftSemi")
+    check_counts(counts)
+
+
 def test_hot_rule_is_split(spark, small_skew):
     table = spark.createDataFrame(
         [("r1", "hot/", None, None, None, None), ("r2", "5/", "1KB", None, None, None)],
