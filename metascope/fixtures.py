@@ -8,7 +8,7 @@ its scalars.
 from __future__ import annotations
 
 import re
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,6 +170,17 @@ def with_views(sql: str) -> str:
     return ("with " + ", ".join(f"{n} as ({VIEWS[n]})" for n in names) + " " + sql) if names else sql
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a test table, with instants for its times; looked up once per session."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
+            for f in spark.read.parquet(path).schema
+        ]
+    )
+
+
 class Fixtures:
     """Views and landed records over the tables in one folder."""
 
@@ -180,15 +191,9 @@ class Fixtures:
 
     def table(self, name: str) -> DataFrame:
         """A test table whose times are read as instants, so filters on them reach the scan."""
-        if name in self._tables:
-            return self._tables[name]
-        path = f"{self.sf_dir}/{name}.parquet"
-        found = self.spark.read.parquet(path).schema
-        fields = [
-            T.StructField(f.name, T.TimestampType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType)
-            for f in found
-        ]
-        self._tables[name] = self.spark.read.schema(T.StructType(fields)).parquet(path)
+        if name not in self._tables:
+            path = f"{self.sf_dir}/{name}.parquet"
+            self._tables[name] = self.spark.read.schema(_schema(self.spark, path)).parquet(path)
         return self._tables[name]
 
     def sql(self, text: str) -> DataFrame:

@@ -1,12 +1,13 @@
+import importlib
 import re
+from pathlib import Path
 
 import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
 from metascope.fixtures import Fixtures
-from metascope.operators import filters
-from metascope.operators import lookups
+from metascope.operators import filters, lookups
 from metascope.plans import actions
 from metascope.sources import exports, listings
 
@@ -43,6 +44,18 @@ def test_inventory_is_covered():
     assert set(entry.oracle_sql()) == set(entry.queries())
 
 
+def test_operator_list_names_what_exists():
+    text = (Path(entry.__file__).parent / "OPERATORS.md").read_text()
+    rows = [line.split("|")[1:4] for line in text.splitlines() if re.match(r"\| [A-Z]+\d+ ", line)]
+    assert len(rows) == sum(INVENTORY.values()) + 1
+    listed = {q for row in rows for q in re.findall(r"`(\w+)`", row[2])}
+    assert listed == set(entry.queries())
+    for row in rows:
+        for path in re.findall(r"`((?:sources|sinks|operators|functions|plans|streaming)\.[\w.]+)`", row[1]):
+            module, name = path.rsplit(".", 1)
+            assert hasattr(importlib.import_module(f"metascope.{module}"), name), path
+
+
 # Counts that both engines agreed on when the views were designed (sf0.01).
 @pytest.fixture(scope="module")
 def fx(spark):

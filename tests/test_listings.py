@@ -189,6 +189,12 @@ def test_machine_details(land, spark):
     assert rows == {"A": ("ACTIVE", "role/a"), "B": ("UNKNOWN", ""), "C": ("ERROR_FETCHING_DETAILS", None)}
 
 
+def test_landed_details(spark, tmp_path):
+    (tmp_path / "0.json").write_text(json.dumps({"stateMachineArn": "arn:A", "status": "ACTIVE", "other": 1}))
+    details = pages.read_details(spark, str(tmp_path), "state_machines")
+    assert details.collect() == [("arn:A", "ACTIVE", None)]
+
+
 def test_machines_limited(land):
     raw = machines(land, "Machine1", "Machine2", "Machine3")
     first = ordering.limit(listings.state_machines(raw), 2, "name")
