@@ -235,6 +235,23 @@ def test_rules_of_a_bucket(spark):
     assert sorted(tuple(r) for r in found) == [("any", "x"), ("any", "y"), ("one", "y")]
 
 
+def test_objects_outside_all_rules_change_nothing(spark):
+    rows = [("b", f"k{i}", None if i == 5 else i, None if i == 6 else when(f"2024-01-{i + 1:02}")) for i in range(10)]
+    df = spark.createDataFrame(rows, "bucket string, key string, size bigint, last_modified timestamp")
+    schema = "rule_id string, prefix string, min_size string, max_size string, newer_than string, older_than string"
+
+    def found(*table):
+        matched = rules.match_rules(df, spark.createDataFrame(list(table), schema), "2024-01-31")
+        return sorted((r["rule_id"], r["key"]) for r in matched.collect())
+
+    a = ("a", "k", "2B", "4B", "2024-01-04", "2024-01-09")
+    b = ("b", "k", "3B", "7B", "2024-01-01", "2024-01-08")
+    assert found(a, b) == [("a", "k3"), ("a", "k4"), ("b", "k3"), ("b", "k4"), ("b", "k7")]
+    assert found(a, ("c", "k", None, "0B", None, None)) == [("a", "k3"), ("a", "k4"), ("c", "k0")]
+    assert [k for r, k in found(a, ("d", None, None, None, None, None)) if r == "d"] == [f"k{i}" for i in range(10)]
+    assert found(("e", "k", "9B", "much", None, None)) == []
+
+
 def test_no_rules(spark):
     _, df = inventory(spark, 10)
     empty = spark.createDataFrame(

@@ -151,6 +151,12 @@ def test_rules_are_an_equality_join(landed, no_broadcast):
     assert "SortMergeJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_bounds_shared_by_all_rules_come_before_the_cut(landed):
+    text = plan(rules.match_rules(listings.objects(landed["objects"]), landed["rules"], "2001-11-05"))
+    bound = re.search(r"Filter .*isnull\(Size#\d+L\) OR .*Size#\d+L >= Subquery", text)
+    assert bound and text.index("Generate explode") < bound.start()
+
+
 @pytest.fixture
 def small_skew(spark, no_broadcast):
     """Skew thresholds lowered to the size of the test data."""
