@@ -50,15 +50,18 @@ def with_retry_names(plan: DataFrame, as_of: Instant) -> DataFrame:
     return plan.withColumn("retry_name", F.concat(F.lit("retry-"), "name", F.lit("-"), stamp))
 
 
-def rerun_commands(plan: DataFrame) -> DataFrame:
-    """A shell command per planned retry.
+def rerun_commands(plan: DataFrame, execution: str = "original_execution") -> DataFrame:
+    """A shell command per planned retry, or per failed execution.
+
+    ``execution`` is the column with the ARN: ``execution_arn`` for a listing of
+    failed executions.
 
     JSON input is normalised; other input is passed on as it is, and flagged.
     A single quote in the input is escaped for the shell.
     """
     quoted = F.replace(C.json_text("input"), F.lit("'"), F.lit("'\\''"))
     return plan.select(
-        "original_execution",
+        F.col(execution).alias("original_execution"),
         C.is_json("input").alias("input_is_json"),
         F.format_string(RERUN_COMMAND, "machine_arn", quoted).alias("command"),
     )

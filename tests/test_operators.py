@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from metascope.operators import aggregates, filters, lookups, ordering, prefixes, unions
 from metascope.operators.projection import project
 from metascope.plans import actions, reports, rules
+from metascope.sources import listings
 from metascope.sources.schemas import TAG_ROWS
 
 RUNS = "job_name string, id string, status string, started_on timestamp, execution_time bigint"
@@ -294,6 +295,12 @@ def test_retry_plan(spark):
     assert commands["e0"]["command"].endswith("""--state-machine-arn "m1" \\\n  --input '{"a":"it'\\''s"}'""")
     assert not commands["e3"]["input_is_json"] and commands["e3"]["command"].endswith("--input 'raw '\\''q'\\'''")
 
+    listed = listings.failed_executions(executions, inputs, machine_arn="m1", as_of="2024-01-31")
+    of_machine = actions.rerun_commands(listed, "execution_arn").collect()
+    assert {r["original_execution"]: r["command"] for r in of_machine} == {
+        e: commands[e]["command"] for e in ("e0", "e3")
+    }
+
     attempts = spark.createDataFrame(
         [("e0", True, None), ("e1", False, "throttled"), ("e3", False, None)],
         "original_execution string, retry_started boolean, error string",
