@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, line_dedup, mixing, packing, quality
-from .common import table
+from . import jaccard, line_dedup, lm, mixing, packing, quality, rules
+from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, tokenizer_path())
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fold(F.col("doc_id"), 7)
+    scored = lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), part != 2)
+    held_out = F.coalesce(part == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary")
