@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, line_dedup, lm, mixing, packing, quality, rules
+from . import jaccard, language, line_dedup, lm, mixing, packing, quality, rules
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,12 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), part != 2)
     held_out = F.coalesce(part == 2, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary")
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = fold(F.col("doc_id"), 3)
+    model = language.train(docs, part != 1)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
