@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, line_dedup, lm, mixing, packing, quality, rules
+from . import jaccard, knn, language, line_dedup, lm, mixing, packing, quality, rules, toxicity
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,17 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs, part != 1)
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = fold(F.col("doc_id"), 5)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(part != 0))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
