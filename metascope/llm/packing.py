@@ -11,6 +11,7 @@ their slots by their rank among pieces of their length.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import process_cache, saved, small_batches
 
-CACHED_PARTS = 400_000
+CACHED_PARTS = 1_000_000
+JOINED_PARTS = 4096
 
 
 class TextEncoder:
@@ -38,30 +40,53 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Special tokens written out in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        # Ids are laid over the text by the bytes that they stand for, one per character of their names.
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.widths = np.zeros(max(names.values()) + 1, np.int64)
+        self.widths[list(names.values())] = [len(name) for name in names]
         self.most = most
         self.parts: dict[str, bytes | None] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of words with their spaces: many are encoded as one text, and its ids cut where the words begin."""
+        groups = [parts[i : i + JOINED_PARTS] for i in range(0, len(parts), JOINED_PARTS)]
+        joined = self._encode([" " + " ".join(group) for group in groups])
+        out: list[bytes] = []
+        for group, ids in zip(groups, joined, strict=True):
+            ends = np.cumsum(self.widths[np.frombuffer(ids, "<u4")])
+            wanted = np.cumsum([len(part.encode()) + 1 for part in group])
+            at = np.searchsorted(ends, wanted)
+            if len(ends) and at[-1] < len(ends) and np.array_equal(ends[at], wanted):
+                cuts = [0, *(4 * (at + 1)).tolist()]
+                out += [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:], strict=False)]
+            else:
+                out += self._encode([" " + part for part in group])
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self.parts) > self.most:
-            self.parts.clear()
+            for part in list(itertools.islice(self.parts, self.most // 2)):
+                del self.parts[part]
         split = [text.split(" ") for text in texts]
-        missing = {part for first, *rest in split for part in rest} - self.parts.keys()
+        missing = set().union(*(rest for _, *rest in split)) - self.parts.keys()
         # A part that is empty or ends in white space has a space after that, unless it is the last.
         plain = [part for part in missing if part and not part[-1].isspace()]
         self.parts.update(dict.fromkeys(missing))
-        self.parts.update(zip(plain, self._encode([" " + part for part in plain]), strict=True))
-        heads = [first for first, *_ in split]
-        head_ids = self._encode(heads)
+        self.parts.update(zip(plain, self._encode_parts(plain), strict=True))
+        known = self.parts.__getitem__
+        heads = self._encode([first for first, *_ in split])
         out: list[bytes | None] = []
-        for (first, *rest), ids in zip(split, head_ids, strict=True):
-            found = [self.parts[part] for part in rest]
-            sound = None not in found and not (rest and first and first[-1].isspace()) and (first or not rest)
-            out.append(b"".join([ids, *found]) if sound else None)
+        for (first, *rest), ids in zip(split, heads, strict=True):
+            try:
+                sound = not rest or (first and not first[-1].isspace())
+                out.append(ids + b"".join(map(known, rest)) if sound else None)
+            except TypeError:  # a part without ids of its own
+                out.append(None)
         whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
