@@ -70,7 +70,8 @@ VIEWS: dict[str, str] = {
           ts as start_date,
           case when event_id % 13 = 0 then concat('raw ',cast(event_id as string))
                when event_id % 17 = 0 then concat('{"q": "it''s ',cast(event_id as string),'"}')
-               when event_id % 19 = 0 then null else props end as input from events""",
+               when event_id % 19 = 0 then null else props end as input, event_id % 23 <> 0 as input_found,
+          event_id % 29 = 0 as landed_twice from events""",
     "state_machines": f"""
         select distinct concat('arn:sm:',cast(user_id as string)) as arn,
           concat('wf-',lpad(cast(user_id as string),3,'0')) as name,
@@ -138,6 +139,19 @@ VIEWS: dict[str, str] = {
           as t(rule_id,prefix,min_size,max_size,newer_than,older_than)
         union all select concat('n',cast(n_nationkey as string)), concat('O/',cast(n_nationkey as string)), '1.5KB',
           concat(cast(n_nationkey + 10 as string),'KB'), '200 weeks ago', '2001-06-01T12:00:00' from nation""",
+    "all_objects": """
+        select bucket, key, case when storage_class is null then 0 else size end as size,
+          case when size % 1000 = 0 then timestamp '9999-12-31 12:00:00' else last_modified end as last_modified from objects""",
+    "bucket_rules": """
+        select concat('b',cast(n_nationkey as string)) as rule_id,
+          case n_nationkey % 4 when 0 then 'A' when 1 then 'N' when 2 then 'R' end as bucket,
+          case n_nationkey % 3 when 0 then 'F/' when 1 then concat('O/',cast(n_nationkey as string)) end as prefix,
+          concat(cast(90 + n_nationkey as string),'KB') as min_size, cast(null as string) as max_size,
+          case when n_nationkey % 2 = 0 then '1995-01-01' end as newer_than, cast(null as string) as older_than
+        from nation""",
+    "tag_lists": """
+        select name, user_id % 7 <> 0 as tagged, arn,
+          case user_id % 3 when 0 then 'Prod' when 1 then 'Dev' else 'Stage' end as env, user_id % 10 = 0 as again from state_machines""",
     "prefix_list": """
         select distinct concat(case when o_custkey % 2 = 0 then 'F' else 'O' end,'/',
           substring(cast(o_orderkey as string),1,cast(1 + o_custkey % 3 as int))) as prefix from orders
@@ -391,7 +405,10 @@ class Fixtures:
 
     @cached_property
     def execution_inputs(self) -> DataFrame:
-        return self.view("executions").select(F.col("execution_arn").alias("executionArn"), "input")
+        """Inputs of most executions; some landed twice."""
+        landed = self.view("executions").filter("input_found")
+        both = landed.unionByName(landed.filter("landed_twice"))
+        return both.select(F.col("execution_arn").alias("executionArn"), "input")
 
     @cached_property
     def raw_catalog_tables(self) -> DataFrame:

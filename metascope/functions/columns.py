@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .literals import AGO_PATTERN, SIZE_PATTERN, SIZE_UNITS, TIME_UNITS, Instant, instant
+from .literals import AGO_PATTERN, ISO_PATTERN, SIZE_PATTERN, SIZE_UNITS, TIME_UNITS, Instant, instant
 
 _BLANKS = " \t\n\r\x0b\x0c"
-_ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+# A string, kept, or blanks, dropped.
+_OUTSIDE_BLANKS = r'("(?:[^"\\]++|\\.)*+")|\s+'
 
 
 def col(column: str | Column) -> Column:
@@ -54,7 +55,7 @@ def time_bound(text: str | Column, as_of: Instant | Column) -> Column:
 def iso_parse(text: str | Column) -> Column:
     """ISO-8601 text to a timestamp (``Z`` and offsets honoured); else NULL."""
     clean = _strip(col(text))
-    return F.when(clean.rlike(_ISO_PATTERN), F.try_to_timestamp(clean))
+    return F.when(clean.rlike(ISO_PATTERN), F.try_to_timestamp(clean))
 
 
 def iso_text(ts: str | Column) -> Column:
@@ -169,11 +170,13 @@ def is_json(text: str | Column) -> Column:
 
 
 def json_text(text: str | Column) -> Column:
-    """Compact JSON for valid input, the raw text for invalid, ``{}`` for missing."""
+    """Compact JSON for valid input, the raw text for invalid, ``{}`` for missing.
+
+    Only blanks outside strings go: numbers keep their spelling and keys their order.
+    """
     raw = F.coalesce(col(text), F.lit("{}"))
-    value, valid = _json_value(raw)
-    # NULL if not valid; written so that both parses are evaluated once.
-    return F.coalesce(F.concat(F.to_json(value), F.when(valid, F.lit(""))), raw)
+    _, valid = _json_value(raw)
+    return F.when(valid, F.regexp_replace(raw, _OUTSIDE_BLANKS, "$1")).otherwise(raw)
 
 
 def gib(size: str | Column) -> Column:

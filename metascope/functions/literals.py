@@ -11,20 +11,25 @@ from collections.abc import Iterable
 from datetime import UTC, datetime, timedelta
 
 # Size suffixes and their factors in bytes.
-SIZE_UNITS = {"TB": 1024**4, "GB": 1024**3, "MB": 1024**2, "KB": 1024, "B": 1}
+SIZE_UNITS = {"B": 1, "KB": 1024, "MB": 1024**2, "GB": 1024**3, "TB": 1024**4}
 
 # Units of a relative time and their length in seconds.
 TIME_UNITS = {"minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 SIZE_PATTERN = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:E[+-]?\d+)?)\s*(TB|GB|MB|KB|B)?$"
-AGO_PATTERN = r"^([+-]?\d+)\s+(minute|hour|day|week)s*(?:\s+\S+)*\s+ago$"
+AGO_PATTERN = r"^([+-]?\d+)\s+(minute|hour|day|week)s*\s+ago$"
+
+# Dates, and times with at least minutes, with or without an offset; options and columns alike.
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 Instant = datetime | str
 
 
 def instant(value: Instant) -> datetime:
     """A point in time in UTC; text is ISO-8601, and no offset means UTC."""
-    moment = datetime.fromisoformat(value) if isinstance(value, str) else value
+    if isinstance(value, str) and not re.match(ISO_PATTERN, value.strip()):
+        raise ValueError(f"not a time: {value!r}")
+    moment = datetime.fromisoformat(value.strip()) if isinstance(value, str) else value
     return moment.replace(tzinfo=UTC) if moment.tzinfo is None else moment.astimezone(UTC)
 
 

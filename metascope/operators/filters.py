@@ -35,7 +35,8 @@ def matches(df: DataFrame, column: str, pattern: str | None) -> DataFrame:
 
 
 def equals(df: DataFrame, column: str, value: str | None) -> DataFrame:
-    return df.filter(F.col(column) == value) if value else df
+    """Rows with this value; None is no filter, and an empty text is compared like any other."""
+    return df.filter(F.col(column) == value) if value is not None else df
 
 
 def differs(df: DataFrame, column: str, value: str) -> DataFrame:

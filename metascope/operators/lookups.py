@@ -1,6 +1,7 @@
 """Lookups as joins: details, latest run, tags, ids, a gate.
 
-Keys of the looked-up side are unique, so only the looking side can be hot.
+The looked-up side is reduced to one row per key before it is shuffled, so no
+row is multiplied and only the looking side can be hot.
 No side is forced to broadcast: Spark does that below its size threshold, and
 splits a hot key of a sort-merge join otherwise (see ``session``).
 """
@@ -27,13 +28,16 @@ def enrich(
 ) -> DataFrame:
     """Adds ``columns``, computed over ``details``, by a join on ``key``.
 
+    Of several details of a key the one with the greatest columns counts.
+
     ``miss`` says what a row without details gets: NULLs (``null``), a fixed
     text in one column (``sentinel``, a pair of column and text), a text in an
     ``error`` column (``error``), or removal (``drop``).
     """
     if miss not in MISS_POLICIES:
         raise ValueError(f"miss must be one of {MISS_POLICIES}: {miss!r}")
-    right = details.select(key, *[c.alias(name) for name, c in columns.items()], F.lit(True).alias("_found"))
+    right = one_per_key(details.select(key, *[c.alias(name) for name, c in columns.items()]), key)
+    right = right.withColumn("_found", F.lit(True))
     if miss == "drop":
         return df.join(right, key, "inner").drop("_found")
     joined = df.join(right, key, "left")
@@ -46,6 +50,14 @@ def enrich(
     return joined.drop("_found")
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the greatest; equal details that landed twice are one."""
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return df.distinct()
+    return df.groupBy(key).agg(F.max(F.struct(*others)).alias("_row")).select(key, "_row.*")
+
+
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The last run of each job: by start, missing starts first, then by id.
 
@@ -95,7 +107,7 @@ def having_tags(df: DataFrame, key: str, tag_rows: DataFrame, wanted, trim: bool
         F.max(
             F.when(
                 F.col("key") == k,
-                F.col("seq").cast("bigint") * 2 + F.col("value").eqNullSafe(F.lit(v)).cast("bigint"),
+                F.coalesce("seq", F.lit(0)).cast("bigint") * 2 + F.col("value").eqNullSafe(F.lit(v)).cast("bigint"),
             )
         ).alias(f"_tag{i}")
         for i, (k, v) in enumerate(pairs)
@@ -107,8 +119,8 @@ def having_tags(df: DataFrame, key: str, tag_rows: DataFrame, wanted, trim: bool
 
 
 def with_details(ids: DataFrame, details: DataFrame, key: str) -> DataFrame:
-    """Details of the listed ids; ids without details are dropped."""
-    return ids.join(details, key, "inner")
+    """Details of the listed ids; ids without details are dropped, and repeated ids don't repeat them."""
+    return details.join(ids.select(key), key, "left_semi")
 
 
 def machines_with_failures(machines: DataFrame, failed: DataFrame, name_prefix: str = "") -> DataFrame:

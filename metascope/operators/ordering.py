@@ -20,10 +20,15 @@ def sort_newest_first(jobs: DataFrame) -> DataFrame:
 
 
 def limit(df: DataFrame, n: int | None, *order: str | Column) -> DataFrame:
-    """The first ``n`` rows in ``order``; all if ``n`` is None, none if it is negative."""
-    if n is None:
-        return df.orderBy(*order) if order else df
-    return (df.orderBy(*order) if order else df).limit(max(n, 0))
+    """The first ``n`` rows in ``order``; all if ``n`` is None, none if it is negative.
+
+    Without an order the rows would be arbitrary ones, so one is required.  The
+    rows kept pass through one task: ``page`` reads on through long listings.
+    """
+    if not order:
+        raise ValueError("limit needs an order")
+    ordered = df.orderBy(*order)
+    return ordered if n is None else ordered.limit(max(n, 0))
 
 
 def page(df: DataFrame, key: str | Sequence[str], after=None, n: int = 1000) -> DataFrame:

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import would_broadcast
-
 
 def cut_at_lengths(df: DataFrame, column: str, prefixes: DataFrame, into: str = "prefix") -> DataFrame:
     """One row per row of ``df`` and distinct prefix length that fits in its text.
@@ -27,14 +25,12 @@ def cut_at_lengths(df: DataFrame, column: str, prefixes: DataFrame, into: str =
 def counts_by_prefix(df: DataFrame, column: str, prefixes: DataFrame) -> DataFrame:
     """Number of rows under each listed prefix, 0 included.
 
-    A list small enough to be broadcast first drops the cuts that are not on
-    it, and only those on it are shuffled.  Beside a larger list the cuts would
-    be shuffled anyway: they are counted first, which leaves one row per task
-    and cut, however hot a prefix is.
+    Cuts outside the range of the list go first; the others are counted before
+    they meet it, which leaves one row per task and cut, however hot a prefix is.
     """
     listed = prefixes.select("prefix").filter(F.col("prefix").isNotNull())
     cut = cut_at_lengths(df.select(column), column, listed).select("prefix")
-    if would_broadcast(listed):
-        cut = cut.join(listed, "prefix", "left_semi")
+    ends = listed.agg(F.struct(F.min("prefix").alias("first"), F.max("prefix").alias("last"))).scalar()
+    cut = cut.filter(F.col("prefix").between(ends["first"], ends["last"]))
     counts = cut.groupBy("prefix").agg(F.count("*").alias("n"))
     return listed.distinct().join(counts, "prefix", "left").select("prefix", F.coalesce("n", F.lit(0)).alias("n"))

@@ -27,8 +27,9 @@ def retry_plan(
 ) -> DataFrame:
     """Failed executions of the machines under a prefix, each of which would be retried.
 
-    Inputs are looked up last, for the executions that are left.  Without
-    ``inputs`` the plan can still be counted.
+    Inputs are looked up last, for the executions that are left; one that has not
+    landed is NULL, and ``input_found`` says so.  Without ``inputs`` the plan has
+    the same rows.
     """
     failed = listings.recent_failures(executions, days=days, as_of=as_of)
     found = lookups.machines_with_failures(machines, failed, prefix)
@@ -37,7 +38,7 @@ def retry_plan(
     return found.select(
         F.col("execution_arn").alias("original_execution"),
         F.lit(True).alias("would_retry"),
-        *(["input"] if inputs is not None else []),
+        *(["input", "input_found"] if inputs is not None else []),
         "name",
         "machine_name",
         "machine_arn",
@@ -57,19 +58,23 @@ def rerun_commands(plan: DataFrame, execution: str = "original_execution") -> Da
     failed executions.
 
     JSON input is normalised; other input is passed on as it is, and flagged.
-    A single quote in the input is escaped for the shell.
+    A single quote in the input is escaped for the shell.  An execution whose
+    input has not landed gets no command.
     """
     quoted = F.replace(C.json_text("input"), F.lit("'"), F.lit("'\\''"))
+    found = F.col("input_found") if "input_found" in plan.columns else F.lit(True)
     return plan.select(
         F.col(execution).alias("original_execution"),
         C.is_json("input").alias("input_is_json"),
-        F.format_string(RERUN_COMMAND, "machine_arn", quoted).alias("command"),
+        F.when(found, F.format_string(RERUN_COMMAND, "machine_arn", quoted)).alias("command"),
     )
 
 
 def retry_outcomes(plan: DataFrame, attempts: DataFrame) -> DataFrame:
-    """The plan with what its landed attempts came to."""
-    found = attempts.withColumn("attempted", F.lit(True))
+    """The plan with what its landed attempts came to; of several attempts one that started counts, else the last error."""
+    columns = ["original_execution", "retry_started", "error"]
+    columns += ["retry_execution"] if "retry_execution" in attempts.columns else []
+    found = lookups.one_per_key(attempts.select(*columns), "original_execution").withColumn("attempted", F.lit(True))
     started = F.coalesce("retry_started", F.lit(False))
     return plan.join(found, "original_execution", "left").select(
         *plan.columns,
@@ -94,11 +99,11 @@ def archive_candidates(
     archive: str = "archive",
     storage_class: str = "GLACIER",
 ) -> DataFrame:
-    """Old objects with the place they would be archived to."""
+    """Old objects with the place they would be archived to: a folder of the archive for each bucket."""
     old = filters.in_period(filters.prefix(objects, "key", prefix), "last_modified", None, older_than, as_of)
     return old.select(
         F.concat(F.lit("s3://"), "bucket", F.lit("/"), "key").alias("source"),
-        F.concat(F.lit(f"s3://{archive}/"), "key").alias("target"),
+        F.concat(F.lit(f"s3://{archive}/"), "bucket", F.lit("/"), "key").alias("target"),
         F.lit(storage_class).alias("target_class"),
     )
 

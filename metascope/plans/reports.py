@@ -15,11 +15,14 @@ def cost_report(
     streams: DataFrame,
     *,
     min_size: int | str = "10GB",
-    top: int | None = 10,
+    top: int | None = None,
     over_seconds: int = 7200,
     over_shards: int = 10,
 ) -> DataFrame:
-    """(section, name, metric): largest objects in GiB, long trainings in hours, streams by shards."""
+    """(section, name, metric): large objects in GiB, long trainings in hours, streams by shards.
+
+    ``top`` keeps the so many largest objects; all of them without it.
+    """
     large = filters.in_range(objects, "size", low=min_size).select("key", "size")
     if top is not None:
         large = ordering.limit(large, top, F.desc("size"), "key")

@@ -61,7 +61,8 @@ def query_errors(
     ``details`` describes them.  Both sides are filtered before they are joined.
     """
     listed = filters.equals(ids, "workgroup", workgroup).select("QueryExecutionId")
-    failed = filters.failed_since(details, "Status.State", "Status.SubmissionDateTime", days, as_of)
+    own = filters.equals(details, "WorkGroup", workgroup)
+    failed = filters.failed_since(own, "Status.State", "Status.SubmissionDateTime", days, as_of)
     return lookups.with_details(listed, failed, "QueryExecutionId").select(
         F.col("QueryExecutionId").alias("query_id"),
         F.col("WorkGroup").alias("workgroup"),

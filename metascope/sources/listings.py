@@ -46,8 +46,8 @@ def objects(
     return df.select(*out)
 
 
-def catalog_tables(raw: DataFrame, database: str = "default", prefix: str = "", extended: bool = False) -> DataFrame:
-    """Tables of one catalog database, with their storage.
+def catalog_tables(raw: DataFrame, database: str | None = "default", prefix: str = "", extended: bool = False) -> DataFrame:
+    """Tables of one catalog database, or of all if it is None, with their storage.
 
     Records of several databases carry a ``database`` column, which is then
     filtered.  Storage columns are NULL where there is no storage descriptor.
@@ -61,7 +61,7 @@ def catalog_tables(raw: DataFrame, database: str = "default", prefix: str = "",
         return F.when(storage.isNotNull(), value)
 
     out = [
-        F.lit(database).alias("database"),
+        (F.col("database") if database is None and "database" in raw.columns else F.lit(database)).alias("database"),
         F.col("Name").alias("table"),
         default("TableType", "EXTERNAL_TABLE").alias("type"),
         F.col("CreateTime").alias("created_time"),
@@ -239,8 +239,8 @@ def stacks(
 def streams(raw: DataFrame, *, prefix: str = "", details: DataFrame | None = None, miss: str = "error") -> DataFrame:
     """Stream names; ``details`` adds state, mode, shards and monitoring.
 
-    A stream described over several pages has several detail rows: their shard
-    counts are added up.
+    A stream described over several pages has several detail rows, whose shards
+    are put together; a shard that landed twice counts once.
     """
     df = filters.prefix(raw, "StreamName", prefix).select(F.col("StreamName").alias("name"))
     if details is None:
@@ -248,11 +248,13 @@ def streams(raw: DataFrame, *, prefix: str = "", details: DataFrame | None = Non
     first_metrics = C.first_element("EnhancedMonitoring")["ShardLevelMetrics"]
     monitored = C.cardinality("EnhancedMonitoring") > 0
     no_metrics = F.array().cast("array<string>")
-    described = details.groupBy(F.col("StreamName").alias("name")).agg(
+    # A row per shard, and one for a page without any.
+    by_shard = details.select("*", F.explode_outer("Shards.ShardId").alias("shard"))
+    described = by_shard.groupBy(F.col("StreamName").alias("name")).agg(
         F.max("StreamStatus").alias("status"),
         F.max("StreamModeDetails.StreamMode").alias("mode"),
         F.max("RetentionPeriodHours").alias("retention_hours"),
-        F.sum(C.cardinality("Shards")).cast("int").alias("shard_count"),
+        F.count_distinct("shard").cast("int").alias("shard_count"),
         F.max("StreamCreationTimestamp").alias("created_at"),
         F.max("StreamARN").alias("arn"),
         F.max(F.when(monitored, F.coalesce(first_metrics, no_metrics))).alias("monitoring_level"),
@@ -305,12 +307,15 @@ def recent_failures(
 
 
 def with_inputs(executions: DataFrame, inputs: DataFrame) -> DataFrame:
-    """Executions with their input, ``{}`` where it has none.
+    """Executions with their input, ``{}`` where it has none, and whether it has landed (``input_found``).
 
-    Inputs are the widest data here: filter and join the executions first.
+    Inputs are the widest data here: filter and join the executions first.  An
+    execution whose input has not landed is kept, with a NULL input.
     """
     texts = inputs.select(F.col("executionArn").alias("execution_arn"), default("input", "{}").alias("input"))
-    return lookups.with_details(executions, texts, "execution_arn")
+    found = lookups.one_per_key(texts, "execution_arn").withColumn("input_found", F.lit(True))
+    joined = executions.join(found, "execution_arn", "left")
+    return joined.withColumn("input_found", F.coalesce("input_found", F.lit(False)))
 
 
 def failed_executions(

@@ -11,10 +11,26 @@ from pyspark.sql import types as T
 from .schemas import DETAILS, ENVELOPES, PLAIN_NAMES
 
 
+ON_DAMAGE = ("fail", "column", "skip")
+DAMAGED = "damaged_page"
+
+
+def _reading(on_damage: str) -> dict[str, str]:
+    if on_damage not in ON_DAMAGE:
+        raise ValueError(f"on_damage must be one of {ON_DAMAGE}: {on_damage!r}")
+    return {"mode": "FAILFAST"} if on_damage == "fail" else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": DAMAGED}
+
+
 def _records(pages: DataFrame, entity: str, envelope: str) -> DataFrame:
     field, _ = ENVELOPES[entity]
     context = [c for c in pages.columns if c not in (field, envelope)]
-    rows = pages.select(*context, F.explode(F.col(envelope)).alias("record"))
+    records = F.col(envelope)
+    if DAMAGED in context:
+        # A damaged page has a row of its own, with its text, besides the records that could be read.
+        records = F.when(F.col(DAMAGED).isNull(), records).otherwise(F.concat(F.coalesce(records, F.array()), F.array(F.lit(None))))
+    rows = pages.select(*context, F.explode(records).alias("record"))
+    if DAMAGED in context:
+        rows = rows.withColumn(DAMAGED, F.when(F.col("record").isNull(), F.col(DAMAGED)))
     if entity in PLAIN_NAMES:
         return rows.withColumnRenamed("record", PLAIN_NAMES[entity])
     return rows.select(*context, "record.*")
@@ -31,6 +47,10 @@ def _envelope(entity: str, fields: Sequence[str] | None) -> T.StructType:
     return T.StructType([T.StructField(field, T.ArrayType(kind))])
 
 
+def _with_damaged(schema: T.StructType, on_damage: str) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())]) if on_damage == "column" else schema
+
+
 def read_pages(
     spark: SparkSession,
     path: str,
@@ -39,6 +59,7 @@ def read_pages(
     fields: Sequence[str] | None = None,
     nested: bool = False,
     multiline: bool = False,
+    on_damage: str = "fail",
 ) -> DataFrame:
     """Records of all page files in ``path``.
 
@@ -49,18 +70,40 @@ def read_pages(
     up those columns.  ``multiline`` reads one page per file, pretty-printed or
     not, instead of one per line; such files are not split.  A page without the
     envelope field has no records.
+
+    A page that cannot be read whole ends the job (``fail``), or is a row of its
+    own with its text in ``damaged_page`` (``column``), or is left out (``skip``).
     """
-    reader = spark.read.schema(_envelope(entity, fields)).options(
-        recursiveFileLookup=str(nested).lower(), multiLine=str(multiline).lower()
+    reader = spark.read.schema(_with_damaged(_envelope(entity, fields), on_damage)).options(
+        recursiveFileLookup=str(nested).lower(), multiLine=str(multiline).lower(), **_reading(on_damage)
     )
     return _records(reader.json(path), entity, ENVELOPES[entity][0])
 
 
-def records_of(pages: DataFrame, entity: str, text: str = "value") -> DataFrame:
-    """Records of pages held as JSON text in a column, batch or streaming."""
+def records_of(pages: DataFrame, entity: str, text: str = "value", on_damage: str = "fail") -> DataFrame:
+    """Records of pages held as JSON text in a column, batch or streaming; ``on_damage`` as in ``read_pages``."""
     field, record = ENVELOPES[entity]
-    parsed = pages.withColumn(text, F.from_json(text, f"{field} array<{record}>")[field])
-    return _records(parsed, entity, text)
+    extra = f", {DAMAGED} string" if on_damage == "column" else ""
+    parsed = pages.withColumn(text, F.from_json(text, f"{field} array<{record}>{extra}", _reading(on_damage)))
+    if on_damage == "column":
+        parsed = parsed.withColumn(DAMAGED, F.col(text)[DAMAGED])
+    return _records(parsed.withColumn(text, F.col(text)[field]), entity, text)
+
+
+def tag_rows(records: DataFrame, resource: str, tags: str = "Tags", key: str = "Key", value: str = "Value") -> DataFrame:
+    """(resource_id, key, value, seq) from records with a list of tags; ``seq`` is the place in the list.
+
+    Records without tags have no rows.  Lists of the other spelling are read with
+    ``tags="tags"``, ``key="key"`` and ``value="value"``.
+    """
+    rows = records.select(F.col(resource).alias("resource_id"), F.posexplode(tags).alias("seq", "tag"))
+    return rows.select("resource_id", F.col("tag")[key].alias("key"), F.col("tag")[value].alias("value"), "seq")
+
+
+def read_tags(spark: SparkSession, path: str, resource: str, tags: str = "Tags", key: str = "Key", value: str = "Value") -> DataFrame:
+    """``tag_rows`` of landed records under ``path``, one JSON record per line."""
+    schema = f"{resource} string, {tags} array<struct<{key}:string,{value}:string>>"
+    return tag_rows(spark.read.schema(schema).options(mode="FAILFAST").json(path), resource, tags, key, value)
 
 
 def read_details(spark: SparkSession, path: str, entity: str) -> DataFrame:

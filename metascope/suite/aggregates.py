@@ -136,10 +136,10 @@ def _(fx):
 @query(
     "agg9_array_sizes",
     """select table_name as "table", cast(partition_count + 1 as int) as column_count,
-        cast(partition_count as int) as partition_count from catalog_tables where database = 'Brand#12'""",
+        cast(partition_count as int) as partition_count from catalog_tables""",
 )
 def _(fx):
-    tables = listings.catalog_tables(fx.raw_catalog_tables, "Brand#12", extended=True)
+    tables = listings.catalog_tables(fx.raw_catalog_tables, None, extended=True)
     return tables.select("table", "column_count", "partition_count")
 
 
@@ -190,4 +190,5 @@ def _(fx):
         listings.training_jobs(fx.raw_ml_jobs("training")),
         listings.streams(fx.raw_streams, details=fx.stream_details),
         min_size="100KB",
+        top=10,
     )

@@ -6,7 +6,7 @@ from ..fixtures import RUNS_AS_OF
 from ..functions import columns as C
 from ..plans import reports
 from ..sources import listings
-from .registry import iso, query, size_of, time_of
+from .registry import compact, iso, query, size_of, time_of
 
 
 @query("sc1_size_text", f"select bucket, key, size_text, {size_of('size_text')} as bytes from objects")
@@ -107,8 +107,8 @@ def _(fx):
 
 @query(
     "sc11_json_text",
-    """select execution_arn, json_valid(coalesce(input, '{}')) as valid,
-        case when input is null then '{}' when json_valid(input) then cast(json(input) as varchar) else input end as text
+    f"""select execution_arn, json_valid(coalesce(input, '{{}}')) as valid,
+        case when input is null then '{{}}' when json_valid(input) then {compact("input")} else input end as text
         from executions""",
 )
 def _(fx):

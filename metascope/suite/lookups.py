@@ -117,7 +117,7 @@ def _(fx):
 @query(
     "jn5_machines_with_failures",
     f"""select m.name as machine_name, m.arn as machine_arn, e.execution_arn, e.name, {iso("e.start_date")},
-        coalesce(e.input, '{{}}') as input from state_machines m join executions e on e.machine_arn = m.arn
+        case when input_found then coalesce(e.input, '{{}}') end as input, input_found from state_machines m join executions e on e.machine_arn = m.arn
         where m.name like 'wf-0%' and e.status = 'FAILED' and e.start_date > timestamp '2024-01-24'""",
 )
 def _(fx):

@@ -31,11 +31,6 @@ def _(fx):
     return ordering.limit(listings.state_machines(fx.raw_state_machines, prefix="wf-"), 20, "name").select("name", "arn")
 
 
-@query("lim1_none", "select name from state_machines limit 0")
-def _(fx):
-    return ordering.limit(listings.state_machines(fx.raw_state_machines), -1, "name").select("name")
-
-
 @query("lim2_top", f"select type, name, {iso('creation_time', 'created_time')} from {ALL_ML} j {NEWEST} limit 50")
 def top_newest(fx):
     jobs = all_ml_jobs(fx)

@@ -38,6 +38,11 @@ def iso(ts: str, name: str | None = None) -> str:
     return f"{text} as {name or ts.split('.')[-1]}"
 
 
+def compact(json: str) -> str:
+    """JSON text without the blanks outside its strings."""
+    return rf"""regexp_replace({json}, '("(?:[^"\\]|\\.)*")|\s+', '\1', 'g')"""
+
+
 def size_of(text: str) -> str:
     """Bytes that a size text spells."""
     t = f"upper(trim({text}))"

@@ -21,10 +21,10 @@ def _(fx):
     return tables.save_table(objects, "object_inventory", path=work_dir(fx.spark, "table"), partition_by=["bucket"])
 
 
-@query("snk2_jsonl", f"select {REPORT} from objects where bucket = 'R'")
+@query("snk2_jsonl", f"select {REPORT} from objects")
 def _(fx):
     path = work_dir(fx.spark, "jsonl")
-    files.write_jsonl(listings.objects(fx.raw_objects, bucket="R"), path, "key,size,last_modified,storage_class")
+    files.write_jsonl(listings.objects(fx.raw_objects), path, "key,size,last_modified,storage_class")
     return fx.spark.read.schema("key string, size bigint, last_modified string, storage_class string").json(path)
 
 
@@ -41,7 +41,7 @@ def _(fx):
 
 @query(
     "snk4_csv",
-    """select execution_arn, coalesce(input, '{}') as input, machine_arn from executions
+    """select execution_arn, case when input_found then coalesce(input, '{}') end as input, machine_arn from executions
         where status = 'FAILED' and start_date > timestamp '2024-01-24'""",
 )
 def _(fx):
@@ -54,12 +54,11 @@ def _(fx):
 
 @query(
     "snk4_storage_report",
-    """select key, cast(size as varchar) as size, coalesce(storage_class, 'STANDARD') as storage_class from objects
-        where bucket = 'N'""",
+    """select key, cast(size as varchar) as size, coalesce(storage_class, 'STANDARD') as storage_class from objects""",
 )
 def _(fx):
     path = work_dir(fx.spark, "report")
-    files.write_csv(listings.objects(fx.raw_objects, bucket="N"), path, "key,size,storage_class")
+    files.write_csv(listings.objects(fx.raw_objects), path, "key,size,storage_class")
     return fx.spark.read.schema("key string, size string, storage_class string").option("header", "true").csv(path)
 
 

@@ -35,6 +35,48 @@ def _(fx):
     return listings.objects(pages.read_pages(fx.spark, path, "objects"), extended=True)
 
 
+@query(
+    "src0_damaged_pages",
+    """select event_id, case when event_id % 7 = 0 then null else cast(user_id as varchar) end as key,
+        event_id % 7 = 0 as damaged from events""",
+)
+def _(fx):
+    """A page per event, of which some are cut off; those come as rows of their own."""
+    record = F.to_json(F.struct(F.array(F.struct(F.col("user_id").cast("string").alias("Key"))).alias("Contents")))
+    cut = F.when(F.col("event_id") % 7 == 0, F.substr(record, F.lit(1), F.length(record) - 3)).otherwise(record)
+    read = pages.records_of(fx.table("events").select("event_id", cut.alias("value")), "objects", on_damage="column")
+    return read.select("event_id", F.col("Key").alias("key"), F.col(pages.DAMAGED).isNotNull().alias("damaged"))
+
+
+TAGS = """(select resource_id, key, value, seq from (
+    select {id} as resource_id, 'Env' as key, env as value, 0 as seq from tag_lists where tagged
+    union all select {id}, 'Env', 'Dev', 1 from tag_lists where tagged and again) t)"""
+
+
+def landed_tags(fx, resource: str, tags: str, key: str, value: str):
+    """Tag lists as the services return them, landed as JSON and read back."""
+    rows = fx.view("tag_lists")
+
+    def pair(tag):
+        return F.struct(F.lit("Env").alias(key), tag.alias(value))
+
+    listed = F.when(F.col("again"), F.array(pair(F.col("env")), pair(F.lit("Dev")))).otherwise(F.array(pair(F.col("env"))))
+    records = rows.select(F.col("name" if tags == "Tags" else "arn").alias(resource), F.when(F.col("tagged"), listed).alias(tags))
+    path = work_dir(fx.spark, "tags")
+    records.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return pages.read_tags(fx.spark, path, resource, tags, key, value)
+
+
+@query("src_tags_of_stacks", f"select * from {TAGS.format(id='name')}")
+def _(fx):
+    return landed_tags(fx, "StackName", "Tags", "Key", "Value")
+
+
+@query("src_tags_of_machines", f"select * from {TAGS.format(id='arn')}")
+def _(fx):
+    return landed_tags(fx, "stateMachineArn", "tags", "key", "value")
+
+
 @query(
     "src1_objects",
     f"select bucket, key, size, {iso('last_modified')}, {STORED} from objects",
@@ -267,7 +309,8 @@ def _(fx):
 
 @query(
     "src17_failed_executions",
-    f"""select execution_arn, name, {iso("start_date")}, coalesce(input, '{{}}') as input, machine_arn from executions
+    f"""select execution_arn, name, {iso("start_date")}, case when input_found then coalesce(input, '{{}}') end as input, machine_arn,
+        input_found from executions
         where status = 'FAILED' and start_date > timestamp '2024-01-24'""",
 )
 def _(fx):

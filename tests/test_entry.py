@@ -38,10 +38,10 @@ def test_flagship_runs(spark):
 
 
 def test_inventory_is_covered():
-    have = {m[0] for name in entry.queries() if (m := re.match(r"[a-z]+\d+", name))}
+    have = {m[0] for name in entry.QUERIES if (m := re.match(r"[a-z]+\d+", name))}
     want = {f"{kind}{i}" for kind, n in INVENTORY.items() for i in range(1, n + 1)} | {"src0"}
     assert want - have == set()
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.ORACLES) == set(entry.QUERIES) <= set(entry.queries())
 
 
 def test_operator_list_names_what_exists():
@@ -49,7 +49,7 @@ def test_operator_list_names_what_exists():
     rows = [line.split("|")[1:4] for line in text.splitlines() if re.match(r"\| [A-Z]+\d+ ", line)]
     assert len(rows) == sum(INVENTORY.values()) + 1
     listed = {q for row in rows for q in re.findall(r"`(\w+)`", row[2])}
-    assert listed == set(entry.queries())
+    assert listed == set(entry.QUERIES)
     for row in rows:
         for path in re.findall(r"`((?:sources|sinks|operators|functions|plans|streaming)\.[\w.]+)`", row[1]):
             module, name = path.rsplit(".", 1)

@@ -156,7 +156,9 @@ JSON = {
     "3": "3",
     "null": "null",
     '"x"': '"x"',
-    '{"a": 1, "a": 2}': '{"a":2}',
+    '{"a": 1, "a": 2}': '{"a":1,"a":2}',
+    '{"b": 1.0, "a": [1e2, 1.10]}': '{"b":1.0,"a":[1e2,1.10]}',
+    '{"k k": "x \\" y\\\\"}': '{"k k":"x \\" y\\\\"}',
 }
 NOT_JSON = ["raw", '{"a": 1} x', "{'a': 1}", "", "1, 2", "1],[2", '1},{"v":2', '1}],[{"v":2', "1,", "[1", '1, "w": 2']
 

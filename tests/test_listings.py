@@ -79,7 +79,12 @@ def test_pretty_printed_pages(spark, tmp_path):
 
 def test_pages_in_a_column(spark):
     text = spark.createDataFrame([('{"StreamNames": ["a", "b"]}',), ("{}",), ("broken",)], "value string")
-    assert names(pages.records_of(text, "streams"), "StreamName") == ["a", "b"]
+    kept = pages.records_of(text, "streams", on_damage="skip")
+    assert names(kept, "StreamName") == ["a", "b"]
+    told = pages.records_of(text, "streams", on_damage="column").collect()
+    assert sorted((r["StreamName"] or "", r["damaged_page"] or "") for r in told) == [("", "broken"), ("a", ""), ("b", "")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        pages.records_of(text, "streams").collect()
 
 
 def test_jobs(land):

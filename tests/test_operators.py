@@ -348,8 +348,10 @@ def test_newest_first_breaks_ties_by_type_then_name(spark):
 def test_limits(spark):
     df = named(spark, "c", "a", "b")
     assert [r["name"] for r in ordering.limit(df, 2, "name").collect()] == ["a", "b"]
-    assert ordering.limit(df, 0).count() == ordering.limit(df, -5, "name").count() == 0
-    assert ordering.limit(df, None) is df
+    assert ordering.limit(df, 0, "name").count() == ordering.limit(df, -5, "name").count() == 0
+    assert [r["name"] for r in ordering.limit(df, None, "name").collect()] == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        ordering.limit(df, 2)
 
 
 def test_pages_meet_without_gap_or_overlap(spark):
@@ -396,4 +398,4 @@ def test_clean_up(spark):
     df = spark.createDataFrame(rows, "bucket string, key string, size bigint, last_modified timestamp")
     assert names(actions.empty_objects(df), "key") == ["app/a", "x"]
     [row] = actions.archive_candidates(df, "app/", as_of="2024-01-31").collect()
-    assert tuple(row) == ("s3://b/app/a", "s3://archive/app/a", "GLACIER")
+    assert tuple(row) == ("s3://b/app/a", "s3://archive/b/app/a", "GLACIER")

@@ -125,7 +125,7 @@ def test_work_dir_follows_the_session(spark):
 def test_a_chosen_broadcast_threshold_is_kept(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.unset(key)
-    assert tune(spark).conf.get(key) == "32MB"
+    assert tune(spark).conf.get(key) == "10485760b"
     spark.conf.set(key, "-1")
     assert tune(spark).conf.get(key) == "-1"
     spark.conf.unset(key)
