@@ -117,5 +117,6 @@ def dedup_lines(
         "n_lines": F.size("lines").cast("long"),
         "n_dropped": F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).cast("long"),
     }
+    made = joined.select("doc", F.struct(*[value.alias(name) for name, value in new.items()]).alias("made"))
     others = [F.col(f"doc.`{c}`") for c in docs.columns if c not in new]
-    return joined.select(*others, *[value.alias(name) for name, value in new.items()])
+    return made.select(*others, "made.*")
