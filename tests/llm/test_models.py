@@ -87,7 +87,7 @@ def test_backpropagation_through_time():
 
 def test_document_probabilities_are_means_of_positions():
     rng = np.random.default_rng(2)
-    make = lambda: language.Direction(rng.normal(0, 1, (256, 24)).astype("f4"), rng.normal(0, 1, (8, 16)).astype("f4"), rng.normal(0, 1, (8, 8)).astype("f4"))
+    make = lambda: language.Direction(rng.normal(0, 0.3, (256, 24)).astype("f4"), rng.normal(0, 0.1, (8, 16)).astype("f4"), rng.normal(0, 0.3, (8, 8)).astype("f4"))
     model = language.LanguageModel(["a", "b"], make(), make(), rng.normal(0, 1, (16, 2)).astype("f4"), np.zeros(2, "f4"))
     texts = [b"x" * 5, b"", bytes(range(200)), b"y" * language.WINDOW]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])

@@ -65,7 +65,7 @@ def test_rules_estimate_by_hand(spark):
 def test_mixing_meets_entropy_and_budget(spark):
     rows = [(i, prose(30, i), "big" if i % 10 else f"small{i % 30 // 10}") for i in range(600)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    mixed = mixing.mix(table, entropy=0.9, repeats=5.0, block_tokens=500).cache()
+    mixed = mixing.mix(table, entropy=0.9, repeats=8.0, block_tokens=500).cache()
     tokens = {r["source"]: (r["n"], r["w"]) for r in mixed.groupBy("source").agg(F.sum(mixing.word_count("text")).alias("n"), F.first("weight").alias("w")).collect()}
     assert math.isclose(-sum(w * math.log(w) for _, w in tokens.values()), 0.9 * math.log(4), rel_tol=1e-3)
     for n, weight in tokens.values():
