@@ -12,13 +12,17 @@ from ..functions.columns import iso_text
 from ..operators.projection import project
 
 
+# Times inside nested values keep their microseconds.
+NESTED = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def _text(field: T.StructField) -> Column:
     """A column as text: ISO-8601 times, JSON for nested values, empty for NULL."""
     value = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.TimestampType):
         value = iso_text(value)
     elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        value = F.to_json(value)
+        value = F.to_json(value, NESTED)
     return F.coalesce(value.cast("string"), F.lit("")).alias(field.name)
 
 
@@ -33,7 +37,7 @@ def write_jsonl(
     df = project(df, fields)
     times = {f.name: iso_text(f.name) for f in df.schema if isinstance(f.dataType, T.TimestampType)}
     out = df.withColumns(times) if times else df
-    out.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
+    out.write.mode(mode).options(ignoreNullFields=str(not keep_nulls).lower(), **NESTED).json(path)
 
 
 def write_tsv(

@@ -29,7 +29,8 @@ def save_table(
     """Creates or replaces a table and returns it.
 
     ``partition_by`` suits columns that are filtered on and have few values (a
-    bucket, a snapshot date).  ``cluster_by`` sorts the rows into ranges of
+    bucket, a snapshot date); rows are dealt by them first, so that a value has
+    few files, and a hot one several.  ``cluster_by`` sorts the rows into ranges of
     equal size, so that filters on prefixes and bounds skip most files; give it
     unique columns, e.g. bucket and key, and a hot bucket fills many files.
     ``bucket_by`` (number, column) stores rows by a *unique* join key, such as
@@ -39,6 +40,8 @@ def save_table(
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

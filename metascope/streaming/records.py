@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import col
-from ..sinks.files import write_jsonl
+from ..sinks.files import NESTED, write_jsonl
 from ..sources.schemas import PERSON
 
 NAMES = ("Ada", "Alan", "Barbara", "Clara", "Donald", "Edsger", "Frances", "Grace", "Hedy", "Ken", "Leslie", "Radia")
@@ -72,7 +72,7 @@ def to_records(df: DataFrame, key: str = "id") -> DataFrame:
     The key should differ from row to row: a constant sends everything to one
     shard.
     """
-    return df.select(F.col(key).cast("string").alias("partition_key"), F.to_json(F.struct("*")).alias("data"))
+    return df.select(F.col(key).cast("string").alias("partition_key"), F.to_json(F.struct("*"), NESTED).alias("data"))
 
 
 def from_records(records: DataFrame) -> DataFrame:

@@ -117,3 +117,19 @@ def test_an_empty_required_text_is_compared(spark):
     assert filters.equals(raw, "JobName", "").count() == 1
     assert filters.equals(raw, "JobName", None).count() == 2
     assert exports  # the exports compare their required names by this filter
+
+
+def test_partitions_have_few_files_and_times_stay_whole(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from metascope.sinks import files, tables
+    from metascope.streaming import records
+
+    rows = spark.range(0, 4000, 1, 8).select((F.col("id") % 20).alias("bucket"), "id")
+    tables.save_table(rows, "few_files", path=str(tmp_path / "t"), partition_by=["bucket"])
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 40 and spark.table("few_files").count() == 4000
+    spark.sql("drop table few_files")
+    timed = spark.sql("select 1 as id, named_struct('t', timestamp'2024-01-02 03:04:05.123456') as s")
+    assert ".123456" in records.to_records(timed).first()["data"]
+    files.write_jsonl(timed, str(tmp_path / "j"))
+    assert ".123456" in spark.read.text(str(tmp_path / "j")).first()[0]
