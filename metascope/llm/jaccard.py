@@ -6,11 +6,12 @@ partner must share becomes a key.  Larger sets are heavy: their rarest shingles
 chosen by counting the keys and list entries of either way.  Equal sets are one
 node from the start.
 
-A list is not expanded into pairs.  First each member meets the pivot of its list
-only; components of these links are formed; then members of different components
-of a list meet, unless their distances to a common pivot rule a link out
-(Jaccard distance is a metric).  Every pair of nodes with a link either meets or
-lies in one component already, so components are exact.
+A list is not expanded into pairs.  First each member meets one pivot only, the
+one that most of its lists share; then of the components so found one member each
+meets the pivot of another in a list of both, in rounds; at last members of different
+components of a list meet, unless their distances to a common pivot rule a link
+out (Jaccard distance is a metric).  Every pair of nodes with a link either meets
+or lies in one component already, so components are exact.
 
 Rarity comes from counts of all shingles of all documents in a table of fixed
 size; it only decides the order of shingles, never the result.
@@ -33,6 +34,9 @@ from .components import connected_components
 from .words import BASE, Words, mix, words_of
 
 SKETCH_BITS, CHUNK = 20, 1 << 15
+MEMBER_BITS = 23
+SHORT_LIST = 128
+ROUNDS = 2
 LARGEST_BOUNDARY = 14
 BITMAP_WORDS = 16
 
@@ -62,6 +66,14 @@ def node_of(shingles: np.ndarray) -> int:
     return int(mix(np.asarray([total]))[0].astype(np.int64))
 
 
+def bitmap_of(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, at a place that its hash gives."""
+    bits = np.zeros(BITMAP_WORDS, np.uint64)
+    slot = mix(shingles) % np.uint64(64 * BITMAP_WORDS)
+    np.bitwise_or.at(bits, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+    return bits.view(np.int64)
+
+
 @dataclass
 class Plan:
     """What decides the keys of a set."""
@@ -118,38 +130,40 @@ class Plan:
 
 
 def _sets(docs: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
-    """A row per document (id, r1, r2, n, node); and, with a NULL r1, counts of shingles in chunks of a table."""
+    """A row per document (id, r1, r2, n, node, bits); and, with a chunk, counts of shingles in chunks of a table."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         seen: set[int] = set()
         for batch in batches:
-            n, node = [], []
+            n, node, bits = [], [], []
             for _, _, words in words_of(batch.column("text")):
                 for shingles in shingle_sets(words, k):
                     n.append(len(shingles))
+                    bits.append(bitmap_of(shingles))
                     node.append(node_of(shingles) if len(shingles) else None)
                     if len(shingles) and node[-1] not in seen:
                         seen.add(node[-1])
                         np.add.at(counts, (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("r1"), batch.column("r2"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), *none],
-                names=["id", "r1", "r2", "n", "node", "chunk", "counts"],
+                [batch.column("id"), batch.column("r1"), batch.column("r2"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, longs), *none],
+                names=names,
             )
         if seen:
             parts = counts.reshape(-1, CHUNK)
             m = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, batch.column("id").type), *[pa.nulls(m, pa.int64())] * 4, pa.array(range(m), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())],
-                names=["id", "r1", "r2", "n", "node", "chunk", "counts"],
+                [pa.nulls(m, batch.column("id").type), *[pa.nulls(m, pa.int64())] * 4, pa.nulls(m, longs), pa.array(range(m), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())],
+                names=names,
             )
 
+    names, longs = ["id", "r1", "r2", "n", "node", "bits", "chunk", "counts"], pa.list_(pa.int64())
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(
         F.col(id_column).alias("id"), F.col(text).alias("text"), row_hash(id_column, text, seed=1).alias("r1"), row_hash(id_column, text, seed=2).alias("r2")
     )
-    return source.mapInArrow(scan, f"id {kind}, r1 long, r2 long, n long, node long, chunk int, counts binary")
+    return source.mapInArrow(scan, f"id {kind}, r1 long, r2 long, n long, node long, bits array<long>, chunk int, counts binary")
 
 
 def _sketch(found: DataFrame) -> np.ndarray:
@@ -205,7 +219,7 @@ def choose_boundary(sizes: dict[int, int], counts: np.ndarray, plan: Plan) -> in
 
 
 def _lists(docs: DataFrame, text: str, plan: Plan) -> DataFrame:
-    """The lists of at least two nodes: (key, node, n, at, pivot, pivot_n)."""
+    """The lists of at least two nodes: (key, node, n, at, pivot, pivot_n, pivot_at)."""
     k = plan.k
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,96 +243,134 @@ def _lists(docs: DataFrame, text: str, plan: Plan) -> DataFrame:
 
     percent = plan.percent
 
+    def viable(rows: list[tuple]) -> list[bool]:
+        """Which rows (node, n, at) of a list have a partner whose size and place admit a link."""
+        if len(rows) == 2:
+            (_, n, at), (_, m, to) = rows
+            least = min(n if at < 0 else n - at, m if to < 0 else m - to)
+            return [least * 100 >= (n + m - least) * percent] * 2
+        n, at = np.asarray([r[1] for r in rows]), np.asarray([r[2] for r in rows])
+        rest = np.where(at < 0, n, n - at)
+        least = np.minimum(rest[:, None], rest[None, :])
+        fits = least * 100 >= (n[:, None] + n[None, :] - least) * percent
+        np.fill_diagonal(fits, False)
+        return fits.any(axis=1).tolist()
+
     def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Over rows sorted by key, n and node: drops lists of one node, and gives each row its pivot.
 
         A pivot serves the rows whose size admits a link with it; then the next row is one.
-        State is a few numbers, whatever the length of a list.
+        Rows of short lists without a possible partner go; a list over ``SHORT_LIST`` rows is
+        passed on as it comes, so that the state is small whatever a list's length.
         """
-        key = node = None
-        pivot = pivot_n = at0 = None
-        alone = False
+        key, held, long_ = None, [], False
+        pivot: tuple = ()
+        out: list[list] = [[] for _ in names]
+
+        def give(rows: list[tuple]) -> None:
+            nonlocal pivot
+            for row in rows:
+                if not pivot or pivot[1] * 100 < percent * row[1]:
+                    pivot = row
+                for column, value in zip(out, (key, *row, pivot[0], pivot[1], pivot[2]), strict=True):
+                    column.append(value)
+
+        def close() -> None:
+            if not long_ and len(held) > 1:
+                give([row for row, ok in zip(held, viable(held), strict=True) if ok])
+
+        last = None
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for k_, node_, n_, at_ in zip(*(batch.column(c).to_numpy().tolist() for c in ("key", "node", "n", "at")), strict=True):
+            # Inside a batch a key that its neighbours don't share is a list of one node.
+            keys = batch.column("key").to_numpy()
+            shared = np.append(keys[1:] == keys[:-1], True)
+            shared[1:] |= shared[:-1]
+            shared[:1] = True
+            batch = batch.filter(pa.array(shared))
+            for k_, *row in zip(*(batch.column(c).to_numpy().tolist() for c in ("key", "node", "n", "at")), strict=True):
                 if k_ != key:
-                    key, node, pivot, pivot_n, at0, alone = k_, node_, node_, n_, at_, True
+                    close()
+                    key, held, long_, pivot, last = k_, [], False, (), None
+                if row[0] == last:
                     continue
-                if node_ == node:
+                last = row[0]
+                if long_:
+                    give([tuple(row)])
                     continue
-                if alone:  # the list's first row was held back until a second node came
-                    for column, value in zip(out, (key, pivot, pivot_n, at0, pivot, pivot_n), strict=True):
-                        column.append(value)
-                    alone = False
-                node = node_
-                if pivot_n * 100 < percent * n_:
-                    pivot, pivot_n = node_, n_
-                for column, value in zip(out, (k_, node_, n_, at_, pivot, pivot_n), strict=True):
-                    column.append(value)
+                held.append(tuple(row))
+                if len(held) > SHORT_LIST:
+                    give(held)
+                    held, long_ = [], True
             if out[0]:
                 yield pa.RecordBatch.from_pydict(dict(zip(names, (pa.array(x, t) for x, t in zip(out, types, strict=True)), strict=True)))
+                out = [[] for _ in names]
+        close()
+        if out[0]:
+            yield pa.RecordBatch.from_pydict(dict(zip(names, (pa.array(x, t) for x, t in zip(out, types, strict=True)), strict=True)))
 
-    names = ["key", "node", "n", "at", "pivot", "pivot_n"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    names = ["key", "node", "n", "at", "pivot", "pivot_n", "pivot_at"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
     posted = docs.select(F.col(text).alias("text")).mapInArrow(post, "key long, node long, n int, at int")
     dealt = posted.repartition("key").sortWithinPartitions("key", "n", "node")
-    return dealt.mapInArrow(pair_up, "key long, node long, n int, at int, pivot long, pivot_n int")
+    return dealt.mapInArrow(pair_up, "key long, node long, n int, at int, pivot long, pivot_n int, pivot_at int")
+
+
+def _similar(overlap: Column, a: Column, b: Column, percent: int) -> Column:
+    return overlap * 100 >= (a + b - overlap) * percent
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and bitmaps don't rule out.
+
+    A shingle in one set only changes at most one bit, so the bits in which two
+    bitmaps differ bound the overlap from above.
+    """
+    one, two = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    differing = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    bound = F.floor((F.col("a_n") + F.col("b_n") - differing) / 2)
+    return both.filter(_similar(bound, F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
 
 
-def _full_sets(docs: DataFrame, found: DataFrame, needed: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
-    """(node, n, bits, shingles) of the needed nodes, each from one document."""
-    chosen = found.filter(F.col("node").isNotNull()).join(needed, "node", "left_semi").groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("r"))
-    chosen = chosen.select(F.col("r.r1").alias("r1"), F.col("r.r2").alias("r2")).distinct()
-    source = docs.select(F.col(text).alias("text"), row_hash(id_column, text, seed=1).alias("r1"), row_hash(id_column, text, seed=2).alias("r2"))
+def _members(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
+    """(node, n, shingles) of the wanted nodes, each made anew from the text of one document."""
+    chosen = saved(nodes.join(wanted, "node", "left_semi").select("r1", "r2").distinct(), "chosen-rows")
+    # A bitmap of fixed size spares most other rows the join.
+    slot = f"shiftrightunsigned(r1, {64 - MEMBER_BITS})"
+    marks = chosen.groupBy(F.expr(f"cast({slot} div 64 as int)").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast({slot} % 64 as int)))").alias("bits"))
+    marked = np.zeros(1 << (MEMBER_BITS - 6), np.uint64)
+    for row in marks.collect():
+        marked[row["at"]] = np.uint64(row["bits"] % (1 << 64))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("r1").to_numpy().view(np.uint64) >> np.uint64(64 - MEMBER_BITS)
+            yield batch.filter(pa.array((marked[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, bits, sets = [], [], [], []
-            for _, _, words in words_of(batch.column("text")):
-                for shingles in shingle_sets(words, k):
-                    bitmap = np.zeros(BITMAP_WORDS, np.uint64)
-                    slot = mix(shingles) >> np.uint64(64 - 10)
-                    np.bitwise_or.at(bitmap, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
-                    node.append(node_of(shingles))
-                    n.append(len(shingles))
-                    bits.append(bitmap.view(np.int64))
-                    sets.append(shingles.view(np.int64))
+            sets = [x for _, _, words in words_of(batch.column("text")) for x in shingle_sets(words, k)]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "node": pa.array(node, pa.int64()),
-                    "n": pa.array(n, pa.int32()),
-                    "bits": pa.array(bits, pa.list_(pa.int64())),
-                    "shingles": pa.array(sets, pa.list_(pa.int64())),
+                    "node": pa.array([node_of(x) for x in sets], pa.int64()),
+                    "n": pa.array([len(x) for x in sets], pa.int32()),
+                    "shingles": pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
                 }
             )
 
-    kept = source.join(chosen, ["r1", "r2"], "left_semi").select("text")
-    return kept.mapInArrow(scan, "node long, n int, bits array<long>, shingles array<long>").dropDuplicates(["node"])
-
-
-def _similar(overlap: Column, a: Column, b: Column, percent: int) -> Column:
-    return overlap * 100 >= (a + b - overlap) * percent
+    source = docs.select(row_hash(id_column, text, seed=1).alias("r1"), row_hash(id_column, text, seed=2).alias("r2"), F.col(text).alias("text"))
+    kept = source.mapInArrow(sift, source.schema).join(chosen, ["r1", "r2"], "left_semi").dropDuplicates(["r1", "r2"])
+    return kept.select("text").mapInArrow(scan, "node long, n int, shingles array<long>")
 
 
-def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with their exact Jaccard similarity where it may reach the limit; ``linked`` says whether it does.
-
-    The number of bits in which two bitmaps differ bounds the overlap from above;
-    pairs that this rules out are left out.
-    """
-
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
-
-    narrow = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    differing = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    bound = F.floor((F.col("a_n") + F.col("b_n") - differing) / 2)
-    possible = narrow.filter(_similar(bound, F.col("a_n"), F.col("b_n"), percent)).select("a", "b", "a_n", "b_n")
-    wide = possible.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    overlap = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    wide = wide.select("a", "b", "a_n", "b_n", overlap.alias("overlap"))
+def _measured(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with their exact Jaccard similarity, and whether it makes a link."""
+    one, two = (members.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("shingles").alias(f"{x}_set")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    both = both.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_set", "b_set")).alias("overlap"))
     union = F.col("a_n") + F.col("b_n") - F.col("overlap")
-    return wide.select("a", "b", (F.col("overlap") / union).alias("similarity"), _similar(F.col("overlap"), F.col("a_n"), F.col("b_n"), percent).alias("linked"))
+    linked = _similar(F.col("overlap"), F.col("a_n"), F.col("b_n"), percent)
+    return both.select("a", "b", (F.col("overlap") / union).alias("similarity"), linked.alias("linked"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -354,6 +406,12 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k:
     return chosen.unionByName(docs.filter(~worded))
 
 
+def _labelled(lists: DataFrame, roots: DataFrame, node: str, label: str) -> DataFrame:
+    """Lists with the component of the column ``node``."""
+    named = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
+    return lists.join(named, node, "left").withColumn(label, F.coalesce("_root", node)).drop("_root")
+
+
 def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
     """(id, r1, r2, n, root) for every document; the root is NULL for texts without words."""
     small_batches(docs.sparkSession)
@@ -364,22 +422,49 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     plan = Plan(k, percent, levels=_levels(counts))
     plan.boundary = choose_boundary({r["n"]: r["many"] for r in sizes}, counts, plan)
 
+    nodes = saved(rows.filter(F.col("node").isNotNull()).select("node", F.col("n").cast("int").alias("n"), "bits", "r1", "r2").dropDuplicates(["node"]), "shingle-nodes")
     lists = saved(_lists(docs, text, plan), "shingle-lists")
-    nodes = lists.select("node").distinct()
-    sets = saved(_full_sets(docs, rows, nodes, id_column, text, k), "shingle-members")
 
-    star = lists.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    star = saved(star, "star-pairs")
-    first = saved(_measured(star, sets, percent), "star-links")
-    roots = saved(connected_components(first.filter("linked").select("a", "b")), "star-components")
+    members: DataFrame | None = None
+    tested: DataFrame | None = None
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        """Saved similarities of the pairs that may reach the limit; sets are made once for each node."""
+        nonlocal members, tested
+        pairs = saved(pairs, "shingle-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        possible = saved(_possible(pairs, nodes, percent), "possible-pairs")
+        wanted = possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct()
+        if members is not None:
+            wanted = wanted.join(members.select("node"), "node", "left_anti")
+        made = saved(_members(docs, nodes, wanted, id_column, text, k), "shingle-members")
+        members = made if members is None else members.unionByName(made)
+        return saved(_measured(possible, members, percent), "shingle-links")
+
+    # Round one: each node and the pivot of most of its lists; places bound the overlap.
+    rest = F.when(F.col("at") < 0, F.col("n")).otherwise(F.least(F.col("pivot_n") - F.col("pivot_at"), F.col("n") - F.col("at")))
+    near_pivot = (F.col("node") != F.col("pivot")) & _similar(rest, F.col("pivot_n"), F.col("n"), percent)
+    met = lists.filter(near_pivot).groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("times"))
+    star = met.groupBy("node").agg(F.max(F.struct("times", "pivot")).alias("best")).select(F.col("best.pivot").alias("a"), F.col("node").alias("b"))
+    known = measured(star)
+
+    # More rounds: one pair for two components that meet as pivot and member of a list.
+    for _ in range(ROUNDS):
+        roots = saved(connected_components(known.filter("linked").select("a", "b")), "shingle-roots")
+        parts = _labelled(lists.filter(near_pivot), roots, "node", "part")
+        parts = _labelled(parts, roots, "pivot", "pivot_part").filter("part <> pivot_part")
+        one = parts.groupBy("part", "pivot_part").agg(F.min(F.struct("pivot", "node")).alias("p"))
+        pairs = one.select(F.col("p.pivot").alias("a"), F.col("p.node").alias("b")).distinct()
+        known = known.unionByName(measured(pairs.join(tested, ["a", "b"], "left_anti")))
+    roots = saved(connected_components(known.filter("linked").select("a", "b")), "shingle-roots")
 
     # Lists that still hold more than one component, with the distance of each member to its pivot.
-    labelled = lists.join(roots, "node", "left").select("*", F.coalesce("root", "node").alias("part")).drop("root")
+    labelled = _labelled(lists, roots, "node", "part")
     mixed = labelled.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("key")
-    known = first.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away"))
-    open_lists = labelled.join(mixed, "key", "left_semi").join(known, ["pivot", "node"], "left")
+    distances = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away")).distinct()
+    open_lists = labelled.join(mixed, "key", "left_semi").join(distances, ["pivot", "node"], "left")
     open_lists = open_lists.withColumn("away", F.when(F.col("pivot") == F.col("node"), F.lit(0.0)).otherwise(F.col("away")))
-    open_lists = saved(open_lists, "open-lists")
+    open_lists = saved(open_lists.select("key", "node", "n", "at", "part", "pivot", "away"), "open-lists")
     a, b = open_lists.alias("a"), open_lists.alias("b")
     fits = (
         (F.col("a.key") == F.col("b.key"))
@@ -393,9 +478,8 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     near = (F.col("a.pivot") != F.col("b.pivot")) | F.col("a.away").isNull() | F.col("b.away").isNull()
     near |= F.abs(F.col("a.away") - F.col("b.away")) <= 1 - percent / 100 + 1e-9
     across = a.join(b, fits & near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = saved(across.join(tested, ["a", "b"], "left_anti"), "cross-pairs")
-    second = _measured(across, sets, percent).filter("linked").select("a", "b")
-    links = first.filter("linked").select("a", "b").union(second)
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    last = measured(across.join(done, ["a", "b"], "left_anti"))
+    links = known.unionByName(last).filter("linked").select("a", "b")
     roots = connected_components(links)
     return rows.join(roots, "node", "left").select("id", "r1", "r2", "n", F.coalesce("root", "node").alias("root"))
