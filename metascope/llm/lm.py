@@ -30,7 +30,7 @@ from .words import mix, words_of
 
 END, BEGIN = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 SALTS = 16
-PART_BYTES = 24 << 20
+PART_BYTES = 18 << 20
 WORDS, PAIRS = 1, 2
 
 
@@ -58,12 +58,16 @@ def tokens_of(texts: pa.ChunkedArray) -> Part:
         hashes.append(seq)
         docs.append(doc)
         done += n
-    seq, doc = np.concatenate(hashes), np.concatenate(docs)
+    seq, doc = np.concatenate(hashes), np.concatenate(docs).astype(np.int32)
+    del hashes, docs
     words, word_of = np.unique(seq, return_inverse=True)
-    before = np.full(len(seq), -1, np.int64)
+    del seq
+    word_of = word_of.astype(np.int32)
+    before = np.full(len(word_of), -1, np.int32)
     before[1:] = np.where(doc[1:] == doc[:-1], word_of[:-1], -1)
     # Places in sorted order stand for the words: one number per pair, sorted by context and word.
-    pairs, pair_of = np.unique((before + 1) << 32 | word_of, return_inverse=True)
+    pairs, pair_of = np.unique((before.astype(np.int64) + 1) << 32 | word_of, return_inverse=True)
+    pair_of = pair_of.astype(np.int32)
     first = (pairs >> 32) - 1
     context = np.where(first < 0, BEGIN, words[first])
     return Part(words, word_of, context, words[pairs & 0xFFFFFFFF], pair_of, doc, before)
@@ -240,10 +244,12 @@ def score_texts(
                     code[at] = np.frombuffer(blob, np.uint8)
         n_docs = texts.num_rows
         own = count[part.word_of]
-        unigram = np.where(own > 0, own / max(tokens, 1) * (1 - unknown), unknown)
+        # What is the same for all tokens of a word or a pair is computed once for each.
+        unigram = np.where(count > 0, count / max(tokens, 1) * (1 - unknown), unknown)
         begun = count[np.searchsorted(part.words, END)]  # as many texts begin as end
-        before = np.where(part.context_word < 0, begun, count[part.context_word])
-        p = (restored(code)[part.pair_of] + strength * unigram) / (before + strength)
+        p = restored(code)[part.pair_of]
+        p += strength * unigram[part.word_of]
+        p /= np.where(part.context_word < 0, begun, count[part.context_word]) + strength
 
         def per_doc(values: np.ndarray) -> np.ndarray:
             return np.bincount(part.doc, values, n_docs)
