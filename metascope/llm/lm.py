@@ -8,15 +8,18 @@ as before, then adds up the logarithms of each document.  So nothing is held as
 whole anywhere, no key is sent more than once per part, and successors of one
 context are spread over several shards.
 
-The model is a bigram model with Dirichlet smoothing, over a unigram model that
-keeps ``unknown`` of its mass for words never seen:
+The model is a bigram model with Dirichlet smoothing, over a unigram model:
 p(w | v) = (c(v w) + strength * p(w)) / (c(v) + strength).
+The unigram model adds one to the count of every word of the table, so a word
+never seen gets half of what a word seen once gets, and all words together get 1.
+For that the distinct words are counted before.
 """
 
 from __future__ import annotations
 
 import math
 import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, row_hash, saved
+from .common import ASCII_SPACE, row_hash, saved, small_batches
 from .elias_fano import EliasFano, PairTrie, restored
 from .words import mix, words_of
 
@@ -159,13 +162,47 @@ def answer(kind: int, blobs: list[bytes]) -> tuple[list[bytes], int, int]:
     return [trie.codes_of(c, w).tobytes() for c, w in zip(contexts, words, strict=True)], 0, 0
 
 
+def distinct_words(rows: DataFrame, most: int = 1 << 22) -> tuple[int, int]:
+    """How many distinct words, the end among them, training texts have, and how many only other texts have."""
+
+    small_batches(rows.sparkSession)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list, list] = [], []  # of other texts, of training texts
+        n = 0
+
+        def told() -> pa.RecordBatch:
+            other, trained = (np.unique(np.concatenate([np.zeros(0, np.uint64), *x])) for x in held)
+            found = np.concatenate([other, trained])
+            flags = np.arange(len(found)) >= len(other)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(flags)], names=["word", "train"])
+
+        for batch in batches:
+            train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            for lo, hi, found in words_of(batch.column("text")):
+                counted = train[lo:hi]
+                of_training = counted[found.doc]
+                for kind in (False, True):
+                    if (counted == kind).any():
+                        held[kind].append(np.append(found.hash[of_training == kind], END))
+                        n += len(held[kind][-1])
+                if n > most:
+                    yield told()
+                    held, n = ([], []), 0
+        yield told()
+
+    each = rows.select("text", "train").mapInArrow(words, "word long, train boolean").groupBy("word").agg(F.max("train").alias("train"))
+    n = each.agg(F.count_if("train").alias("known"), F.count_if(~F.col("train")).alias("unseen")).first()
+    return n["known"], n["unseen"]
+
+
 def score_texts(
     docs: DataFrame,
     train: Column,
     id_column: str = "doc_id",
     text: str = "text",
     strength: float = 8.0,
-    unknown: float = 0.02,
+    unknown: float | None = 0.02,
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """A row per document: id, ``in_training``, ``n_tokens``, ``n_known``, ``train_tokens``, ``vocabulary``, ``base_score`` and ``score``.
@@ -173,8 +210,11 @@ def score_texts(
     The model learns from rows for which ``train`` is true; NULL is false.  Tokens
     are the words of the whole text, A-Z lower-cased, and an end; a NULL or empty
     text is an end alone.  ``base_score`` is the add-one unigram score, ``score`` the
-    bigram model's log10 probability.  Each row is a document, also if rows repeat
-    or ids are NULL.  Other columns are not read.  Without any training rows all
+    bigram model's log10 probability.  With ``unknown`` None the unigram model adds
+    one to every word of the table; a number is the probability of the one event
+    "a word never seen", whichever word it is, so then ``score`` is not one of the
+    text itself and rises with unseen words.  Each row is a document, also if rows
+    repeat or ids are NULL.  Other columns are not read.  Without any training rows all
     words are unknown, and ``base_score`` is 0.  An empty table gives an empty one.
     """
     chosen = F.coalesce(train, F.lit(False))
@@ -189,6 +229,7 @@ def score_texts(
         F.pmod(row_hash(id_column, text, seed=3), F.lit(parts)).cast("int").alias("part"), F.col(id_column).alias("id"), whole.alias("text"), chosen.alias("train")
     )
     dealt = rows.repartition("part")
+    n_words = sum(distinct_words(rows)) if unknown is None else 0
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         part = tokens_of(table.column("text"))
@@ -245,7 +286,10 @@ def score_texts(
         n_docs = texts.num_rows
         own = count[part.word_of]
         # What is the same for all tokens of a word or a pair is computed once for each.
-        unigram = np.where(count > 0, count / max(tokens, 1) * (1 - unknown), unknown)
+        if unknown is None:
+            unigram = (count + 1) / (tokens + n_words)
+        else:
+            unigram = np.where(count > 0, count / max(tokens, 1) * (1 - unknown), unknown)
         begun = count[np.searchsorted(part.words, END)]  # as many texts begin as end
         p = restored(code)[part.pair_of]
         p += strength * unigram[part.word_of]

@@ -77,7 +77,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = fold(F.col("doc_id"), 7)
-    scored = lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), part != 2)
+    scored = lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), part != 2, unknown=None)
     held_out = F.coalesce(part == 2, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary")
 

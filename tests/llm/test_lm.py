@@ -56,6 +56,36 @@ def test_odd_rows(spark, part_bytes):
         assert abs(scores[i, len(w)] - score(w)) < 0.02 * len(w)
 
 
+@pytest.mark.parametrize("most", [1 << 20, 3])
+def test_distinct_words(spark, most):
+    rows = docs(spark).select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce(fold_column(F.col("doc_id"), 7) != 2, F.lit(False)).alias("train"))
+    every = [([*words(lower(r["text"])), None], r["train"]) for r in rows.collect()]
+    known = {x for w, train in every if train for x in w}
+    assert lm.distinct_words(rows, most) == (len(known), len({x for w, _ in every for x in w} - known))
+
+
+def test_unseen_words_share_their_mass(spark):
+    clean = ["the cat sat on the mat", "the dog sat on the rug", "a cat and a dog ran", "the rug and the mat"]
+    unseen = [f"zq{i}" for i in range(60)]
+    rows = [(str(i), t) for i, t in enumerate(clean)] + [("clean", "the cat sat on a rug"), ("junk", "zq0 zq1 zq2 zq3 zq4 zq5")] + [(w, w) for w in [*unseen, "ran"]]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    found = lm.score_texts(frame, F.col("doc_id").rlike("^[0-9]$"), unknown=None).collect()
+    scores = {r["doc_id"]: r["score"] for r in found}
+    assert scores["junk"] < scores["clean"] and scores["zq5"] < scores["ran"]
+    # Every word of the table, and the end, after a begin: together 1.
+    tokens = [x for t in clean for x in [*t.split(), None]]
+    n, counts = len(tokens), Counter(tokens)
+    n_words = len(counts) + len(unseen)
+    p = {w: (counts[w] + 1) / (n + n_words) for w in [*counts, *unseen]}
+    assert math.isclose(sum(p.values()), 1)
+    pairs = Counter(q for t in clean for q in zip([0, *t.split()], [*t.split(), None], strict=True))
+    context = {0: len(clean), **counts}
+    for r in found:
+        w = [*dict(rows)[r["doc_id"]].split(), None]
+        want = sum(math.log10((pairs[b, x] + 8 * p[x]) / (context.get(b, 0) + 8)) for b, x in zip([0, *w], w, strict=False))
+        assert abs(r["score"] - want) < 1e-6
+
+
 def test_no_training_rows_and_no_rows(spark):
     found = lm.score_texts(docs(spark), F.lit(False)).collect()
     assert {(r["n_known"], r["base_score"], r["train_tokens"]) for r in found} == {(0, 0.0, 0)}
