@@ -9,8 +9,14 @@ Labels are of documents; the words that decide are found as word beginnings far
 more frequent in toxic texts than chance allows.  The machine is trained on words
 of toxic and of clean texts in the space of the landmarks, with the clean words
 that it takes for insults added in rounds.  As the kernel has explicit features,
-the trained machine is one weight per subsequence.  A sentence is as toxic as its
-worst word, a text as its worst sentence.
+the trained machine is one weight per subsequence.
+
+Subsequences also run over neighbouring words: up to three that together have no
+more than the longest number of letters are a window, read without its spaces.
+So an insult split by spaces counts as if it were whole.  Windows of toxic texts
+that clean ones hardly have are trained on as well, also if each of their words is
+ordinary, and so are the clean windows most like insults.  A text is as toxic as
+its worst word or window.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from .words import slices, text_bytes
 
 SPAN, DECAY, LONGEST = 5, 0.6, 12
 GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b <= SPAN]
+NEIGHBOURS = 3
 FEATURES = 1 << 15
 _DROP = 255
 
@@ -79,6 +86,28 @@ class Folded:
         self.start, self.stop = stops[:-1], stops[1:]  # the ends before and after each word
         self.doc = docs[self.stop - 1] if len(self.stop) else np.zeros(0, np.int64)
 
+    def windows(self, many: int) -> Folded:
+        """So many neighbouring words of a text read as one, where that is not longer than the longest."""
+        out = object.__new__(Folded)
+        out.n_docs, n = self.n_docs, max(len(self.start) - many + 1, 0)
+        first, last = np.arange(n), np.arange(n) + many - 1
+        length = self.stop[last] - self.start[first] - many
+        kept = (self.doc[first] == self.doc[last]) & (length >= 3) & (length <= LONGEST)
+        first, last, length = first[kept], last[kept], length[kept]
+        # All between the ends of a window but the ends between its words.
+        spread = length + many
+        begin = np.cumsum(spread) - spread
+        at = np.arange(spread.sum()) + np.repeat(self.start[first] - begin, spread)
+        codes = self.codes[at]
+        codes[begin] = 0
+        inner = np.ones(len(codes), bool)
+        inner[begin] = False
+        out.codes = np.append(codes[(codes != 0) | ~inner], np.uint8(0))
+        out.start = np.cumsum(length + 1) - length - 1
+        out.stop = out.start + length + 1
+        out.doc = self.doc[first]
+        return out
+
     def words(self) -> list[bytes]:
         raw = (self.codes + 96).astype(np.uint8).tobytes()
         return [raw[a + 1 : b] for a, b in zip(self.start.tolist(), self.stop.tolist(), strict=True)]
@@ -127,7 +156,14 @@ class ToxicityModel:
     level: float
 
     def margins(self, folded: Folded) -> np.ndarray:
-        """The margin of the worst word of each text; -3 for a text without words."""
+        """The margin of the worst word or window of each text; -3 for a text without words."""
+        worst = self.of_words(folded)
+        for many in range(2, NEIGHBOURS + 1):
+            worst = np.maximum(worst, self.of_words(folded.windows(many)))
+        return worst
+
+    def of_words(self, folded: Folded) -> np.ndarray:
+        """The margin of the worst word of each text, its neighbours aside."""
         worst = np.full(folded.n_docs, -3.0)
         if not len(folded.start):
             return worst
@@ -173,6 +209,33 @@ def telling_words(toxic: list[set[bytes]], clean: list[set[bytes]]) -> Counter:
     return found
 
 
+def telling_windows(toxic: list[set[bytes]], clean: list[set[bytes]], told: Counter) -> Counter:
+    """Windows of toxic texts that clean texts hardly have, without words that tell by themselves."""
+    t = Counter(w for windows in toxic for w in windows)
+    often = {w for w, n in t.items() if n >= 4}
+    c = Counter(w for windows in clean for w in windows if w in often)
+    share = len(toxic) / (len(toxic) + len(clean))
+    least = math.log(100 * (len(t) + 1))
+    found: Counter = Counter()
+    for window in often:
+        n, other = t[window], c[window]
+        if n >= 0.9 * (n + other) and not any(w in window for w in told if len(w) >= 3):
+            odds = n * math.log(n / (n + other) / share) + other * math.log(max(other, 1e-9) / (n + other) / (1 - share))
+            if odds > least:
+                found[window] = n
+    return found
+
+
+def _flat(words: list[bytes]) -> Folded:
+    """Each word as a text of its own."""
+    out = object.__new__(Folded)
+    out.n_docs, out.doc = len(words), np.arange(len(words))
+    out.codes = np.frombuffer(b"`".join([b"", *words, b""]), np.uint8) - 96
+    stops = np.flatnonzero(out.codes == 0)
+    out.start, out.stop = stops[:-1], stops[1:]
+    return out
+
+
 def _matrix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows, index, weight = [], [], []
     for row, word in enumerate(words):
@@ -192,10 +255,15 @@ def _damaged(words: list[bytes], rng: np.random.Generator) -> list[bytes]:
     return out
 
 
-def fit(toxic: list[set[bytes]], clean: list[set[bytes]], landmarks: int, rounds: int, seed: int = 3) -> ToxicityModel | None:
+def fit(
+    toxic: list[set[bytes]], clean: list[set[bytes]], landmarks: int, rounds: int, seed: int = 3,
+    toxic_windows: list[set[bytes]] | None = None, clean_windows: list[set[bytes]] | None = None,
+) -> ToxicityModel | None:
+    toxic_windows, clean_windows = toxic_windows or [set()] * len(toxic), clean_windows or [set()] * len(clean)
     rng = np.random.default_rng(seed)
     toxic, clean = ([{w[:LONGEST] for w in words} for words in texts] for texts in (toxic, clean))
     told = telling_words(toxic, clean)
+    told += telling_windows(toxic_windows, clean_windows, told)
     found = sorted((w for w in told if len(w) >= 3), key=lambda w: (-told[w], w))[:2000]
     seen = Counter(w for words in clean for w in words if len(w) >= 2 and w not in told)
     vocabulary = sorted(seen, key=lambda w: (-seen[w], w))
@@ -252,15 +320,28 @@ def fit(toxic: list[set[bytes]], clean: list[set[bytes]], landmarks: int, rounds
             taken[worst[margin[worst] > -1.2]] = True
         # The second time the clean words most like insults are landmarks.
         others = [every[i] for i in worst[: landmarks - len(chosen)]]
+    # Then the clean windows that it takes for insults.
+    between = Counter(w for windows in clean_windows for w in windows if w not in told)
+    joined = sorted(between)
+    near: set[int] = set()
+    for _ in range(rounds if joined else 0):
+        margin = np.concatenate([ToxicityModel(to_space @ w, offset, 1.0, 0.0).of_words(_flat(joined[i : i + 100_000])) for i in range(0, len(joined), 100_000)])
+        worst = np.argsort(-margin)[:2000]
+        near.update(worst[margin[worst] > -1.2].tolist())
+        if near:
+            x = np.concatenate([positive, everything[taken], mapped([joined[i] for i in sorted(near)])])
+            y = np.concatenate([np.ones(len(positive)), -np.ones(len(x) - len(positive))])
+            weight = np.concatenate([common[taken], np.sqrt([between[joined[i]] for i in sorted(near)])])
+            w, offset = _hinge(x, y, np.concatenate([heard, 5.0 * weight / weight.sum()]), w, offset)
     weights = to_space @ w
 
     # The margin's meaning: logistic regression on the sample's own texts.
     model = ToxicityModel(weights, float(offset), 1.0, 0.0)
     margins = []
-    for texts in (toxic, clean):
-        for words in texts:
-            raw = np.frombuffer(b" ".join(words), np.uint8)
-            margins.append(model.margins(Folded(raw, np.asarray([len(raw)])))[0])
+    for texts, windows in ((toxic, toxic_windows), (clean, clean_windows)):
+        for words, between_words in zip(texts, windows, strict=True):
+            every_one = [*words, *between_words]
+            margins.append(model.of_words(_flat(every_one)).max() if every_one else -3.0)
     margins_, y = np.asarray(margins), np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
     model.slope, model.level = _logistic(margins_, y)
     return model
@@ -311,22 +392,33 @@ def train(
     # The sample is bounded by its limits, so it may be broadcast.
     texts = docs.select(F.col(id_column).alias("labelled_id"), F.col(text).alias("text")).join(F.broadcast(sample), "labelled_id").select("toxic", "text")
 
+    def distinct(parts: list[Folded], n: int) -> list[bytes]:
+        out: list[set[bytes]] = [set() for _ in range(n)]
+        for part in parts:
+            for doc, word in zip(part.doc.tolist(), part.words(), strict=True):
+                out[doc].add(word)
+        return [b" ".join(sorted(x)) for x in out]
+
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            found = []
+            found, between = [], []
             for lo, hi in slices(offsets):
                 folded = Folded(data[offsets[lo] : offsets[hi]], offsets[lo + 1 : hi + 1] - offsets[lo])
-                every, bounds = folded.words(), np.searchsorted(folded.doc, np.arange(hi - lo + 1))
-                found += [b" ".join(sorted(set(every[a:b]))) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(found, pa.binary())], names=["toxic", "words"])
-
-    rows = texts.mapInArrow(words, "toxic int, words binary").toArrow()
-    split: tuple[list, list] = [], []
-    for toxic, found in sorted(zip(rows.column("toxic").to_pylist(), rows.column("words").to_pylist(), strict=True)):
-        split[toxic].append(set(found.split()))
-    clean, toxic_ = split
-    return fit(toxic_, clean, landmarks, rounds) if toxic_ and clean else None
+                found += distinct([folded], hi - lo)
+                between += distinct([folded.windows(many) for many in range(2, NEIGHBOURS + 1)], hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic").cast(pa.int32()), pa.array(found, pa.binary()), pa.array(between, pa.binary())], names=["toxic", "words", "windows"]
+            )
+
+    rows = texts.mapInArrow(words, "toxic int, words binary, windows binary").toArrow()
+    split: tuple[tuple[list, list], tuple[list, list]] = ([], []), ([], [])
+    same: dict[bytes, bytes] = {}  # equal words of all texts are one object
+    for toxic, *found in sorted(zip(*(rows.column(c).to_pylist() for c in ("toxic", "words", "windows")), strict=True)):
+        for kind, every in zip(split[toxic], found, strict=True):
+            kind.append({same.setdefault(w, w) for w in every.split()})
+    (clean, clean_windows), (toxic_, toxic_windows) = split
+    return fit(toxic_, clean, landmarks, rounds, toxic_windows=toxic_windows, clean_windows=clean_windows) if toxic_ and clean else None
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "text", threshold: float = 0.5) -> DataFrame:

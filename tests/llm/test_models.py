@@ -122,6 +122,25 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score_toxicity(docs(spark), None).filter("score = 0 and predicted = 0").count() == len(odd_rows())
 
 
+def test_toxicity_across_spaces(spark):
+    """Insults split by spaces, and insults of words that are each ordinary."""
+    ordinary = ["please get home soon", "we lost the ticket", "they get lunch", "a lost umbrella", "nothing to report here", "get some rest"]
+    texts = [f"{ordinary[i % 6]} and {ordinary[(i // 6) % 6]} as well" for i in range(60)]
+    texts += [f"{ordinary[i % 6]} you {'blockhead' if i % 2 else 'get lost'} again" for i in range(60)]
+    model = toxicity.train(plain(spark, texts), spark.createDataFrame([(i, int(i >= 60)) for i in range(120)], "doc_id long, toxic int"), landmarks=24)
+    asked = ["he is a block head", "he is a blo ckhe ad", "now get lost at once", "we get home", "we lost it"]
+    assert [r["predicted"] for r in toxicity.score_toxicity(plain(spark, asked), model).orderBy("doc_id").collect()] == [1, 1, 1, 0, 0]
+
+
+def test_windows():
+    texts = [b"the id iot x", b"a b", b"", b"mo ron 99", b"extraordinarily long"]
+    folded = toxicity.Folded(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]))
+    two, three = folded.windows(2), folded.windows(3)
+    nines = bytes([96 + 27]) * 2
+    assert two.words() == [b"theid", b"idiot", b"iotx", b"moron", b"ron" + nines] and two.doc.tolist() == [0, 0, 0, 3, 3]
+    assert three.words() == [b"theidiot", b"idiotx", b"moron" + nines] and folded.windows(9).words() == []
+
+
 def test_folded_words():
     def folded(text):
         raw = text.encode()
