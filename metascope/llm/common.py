@@ -46,6 +46,12 @@ def row_hash(*columns: str, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in columns])
 
 
+def one_per_id(rows: DataFrame, id_column: str, label: str, text: str) -> DataFrame:
+    """(label, text) of one row of each id: that with the least hash of its text."""
+    first = F.min_by(text, F.struct(F.xxhash64(text), F.col(text)))
+    return rows.groupBy(id_column).agg(F.min(label).alias(label), first.alias(text)).select(label, text)
+
+
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, across its tasks."""
     home = sys.modules.setdefault("_worker_caches", ModuleType("_worker_caches"))

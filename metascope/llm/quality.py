@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import one_per_id, small_batches
 from .words import BASE, Words, mix, words_of
 
 WORD_BITS, SHAPE_BITS = 15, 12
@@ -131,7 +131,8 @@ def train(
     """Fits on at most ``max_rated`` ratings (id, grade 0, 1, ...), taken in the order of a hash of the id.
 
     A document rated more than once counts with its lowest grade; NULL ids and
-    grades are left out.  None if fewer than two grades are left.
+    grades are left out.  Of rows with the same id one counts, that with the least
+    hash of its text.  None if fewer than two grades are left.
     """
     small_batches(docs.sparkSession)
     rated = ratings.filter(F.col(id_column).isNotNull() & F.col("grade").isNotNull() & (F.col("grade") >= 0))
@@ -139,6 +140,7 @@ def train(
     sample = rated.orderBy(F.xxhash64("rated_id"), "rated_id").limit(max_rated)
     # The sample is bounded by its limit, so it may be broadcast.
     texts = docs.select(F.col(id_column).alias("rated_id"), F.col(text).alias(text)).join(F.broadcast(sample), "rated_id")
+    texts = one_per_id(texts, "rated_id", "grade", text)
     found = rated_features(texts, text).toArrow()
     grades = found.column("grade").to_numpy().astype(int)
     if len(np.unique(grades)) < 2:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import one_per_id, small_batches
 from .words import slices, text_bytes
 
 SPAN, DECAY, LONGEST = 5, 0.6, 12
@@ -383,14 +383,15 @@ def train(
     """Fits on labels (id, toxic 0/1): at most so many of each kind, in the order of a hash of the id.
 
     A document labelled more than once is toxic if any label says so; NULLs are
-    left out.  None without both kinds, or if no words tell them apart.
+    left out.  Of rows with the same id one counts, that with the least hash of its text.  None without both kinds, or if no words tell them apart.
     """
     small_batches(docs.sparkSession)
     known = labels.filter(F.col(id_column).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_column).alias("labelled_id")).agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("labelled_id"), F.col("labelled_id")]
     sample = known.filter("toxic = 1").orderBy(*order).limit(max_toxic).union(known.filter("toxic = 0").orderBy(*order).limit(max_clean))
     # The sample is bounded by its limits, so it may be broadcast.
-    texts = docs.select(F.col(id_column).alias("labelled_id"), F.col(text).alias("text")).join(F.broadcast(sample), "labelled_id").select("toxic", "text")
+    texts = docs.select(F.col(id_column).alias("labelled_id"), F.col(text).alias("text")).join(F.broadcast(sample), "labelled_id")
+    texts = one_per_id(texts, "labelled_id", "toxic", "text")
 
     def distinct(parts: list[Folded], n: int) -> list[bytes]:
         out: list[set[bytes]] = [set() for _ in range(n)]

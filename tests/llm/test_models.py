@@ -39,6 +39,17 @@ def test_quality_of_odd_rows(spark):
     assert quality.grade_quality(docs(spark), None).filter("kept").count() == len(odd_rows())
 
 
+def test_one_row_per_sampled_id(spark, monkeypatch):
+    """Copies of a row neither weigh in the fit nor go to the driver."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, index, share, grades, *_: seen.append(sorted(grades)))
+    monkeypatch.setattr(toxicity, "fit", lambda toxic, clean, *_, **__: seen.append((len(toxic), len(clean))))
+    rows = spark.createDataFrame([(1, "one text")] * 30 + [(1, "other text"), (1, None), (2, "good text"), (3, None)], "doc_id long, text string")
+    quality.train(rows, spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, grade int"))
+    toxicity.train(rows, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
+    assert seen == [[0, 1, 1], (1, 2)]
+
+
 def test_quality_gradient():
     """Fitted on separable shares, the model orders all grades."""
     rng = np.random.default_rng(0)
