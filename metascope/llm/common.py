@@ -28,11 +28,21 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string")) % n
 
 
+# What is written in full needs its shuffles no longer; with this setting Spark removes them when the write has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
     """The rows written to a new table in the cluster's shared folder, and read from there: it cuts the lineage."""
     path = work_dir(df.sparkSession, purpose)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP)
+    conf.set(CLEAN_UP, "true")
+    try:
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
+    finally:
+        conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

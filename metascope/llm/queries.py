@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, knn, language, line_dedup, lm, mixing, packing, quality, rules, toxicity
+from . import jaccard, knn, language, line_dedup, lm, mixing, packing, quality, rules, substrings, toxicity, whitening
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,39 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_substring_dedup"] = r"""
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select doc_id, w, unnest(range(1, len(w) - 48)) as s from texts where len(w) >= 50),
+windows as (select doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) as h from starts),
+least as (select h, min(doc_id) as first_id from windows group by h),
+hits as (select distinct doc_id, s from windows join least using (h) where first_id < doc_id),
+covered as (select distinct doc_id, pos from (select doc_id, unnest(range(s, s + 50)) as pos from hits)),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from texts),
+kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by pos) as body
+  from words where (doc_id, pos) not in (select doc_id, pos from covered) group by doc_id)
+select t.doc_id, len(t.w) as n_words, len(t.w) - coalesce(k.n, 0) as n_removed, sha256(coalesce(k.body, '')) as kept_sha256
+from texts t left join kept k on k.doc_id = t.doc_id
+"""
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    rows = white.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "one"))
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        F.col("deviation").cast("long").alias("deviation"),
+        F.col("one").alias("whitened"),
+        F.col("explained")[F.col("place")].alias("explained"),
+        "identity_error",
+    )

@@ -1,0 +1,91 @@
+import math
+from decimal import Decimal
+
+import numpy as np
+import pytest
+
+from metascope.llm.queries import QUERIES
+from metascope.llm.whitening import Bidiagonal, whiten
+
+TESTDATA = "/root/testdata"
+
+
+def plain(vectors, k=8):
+    """(n, deviation per row, coordinates, shares), by numpy's own eigenvectors."""
+    d = max(len(v) for v in vectors)
+    x = np.array([[math.floor(1024 * c) + 100000 for c in v] + [100000] * (d - len(v)) for v in vectors], dtype=object)
+    n, s = len(x), x.sum(0)
+    deviation = [sum((n * v - t) ** 2 for v, t in zip(row, s, strict=True)) for row in x]
+    y = ((n * x - s) / n).astype(float)
+    values, vectors = np.linalg.eigh(y.T @ y / n)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    return n, deviation, y @ (vectors / np.sqrt(values)), values / (y * y).sum() * n
+
+
+def test_against_numpy_on_the_given_table(spark):
+    from metascope.llm.common import table
+
+    rows = table(spark, f"{TESTDATA}/sf0.01", "embeddings").orderBy("vec_id").collect()
+    n, deviation, white, explained = plain([r["embedding"] for r in rows])
+    found = QUERIES["op13_embedding_whitening"](spark, f"{TESTDATA}/sf0.01").collect()
+    assert len(found) == 8 * n == 8 * len({r["vec_id"] for r in rows})
+    at = {r["vec_id"]: i for i, r in enumerate(rows)}
+    sign = {r["component"]: np.sign(r["whitened"] * white[at[r["vec_id"]], r["component"] - 1]) for r in found if abs(r["whitened"]) > 0.1}
+    for r in found:
+        i, j = at[r["vec_id"]], r["component"] - 1
+        assert (r["n"], r["deviation"]) == (n, deviation[i])
+        assert r["whitened"] == pytest.approx(sign[j + 1] * white[i, j], abs=1e-8)
+        assert r["explained"] == pytest.approx(explained[j], rel=1e-9) and r["identity_error"] < 1e-9
+    assert found[0].asDict().keys() == {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"}
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1, [0.5, -0.25, 0.1]), (2, [0.1, 0.9]), (2, [0.1, 0.9]), (None, [1.5, 2.5, -0.75]), (3, [0.0, 0.0, 0.0]), (4, [0.3, 0.1, 0.2]), (5, [])]
+    bad = [(6, None), (7, [1.0, None, 2.0]), (8, [nan, 1.0, 1.0]), (9, [inf, 1.0, 1.0]), (10, [-inf, 0.0, 0.0])]
+    rows = [(i, v, "a", 7, 0.5) for i, v in good + bad]
+    schema = "vec_id long, embedding array<double>, `a.b` string, N int, x double"
+    got = whiten(spark.createDataFrame(rows, schema))
+    assert got.columns == ["vec_id", "embedding", "a.b", "x", "whitened", "deviation", "n", "eigenvalues", "explained", "identity_error"]
+    got = got.collect()
+    n, deviation, white, explained = plain([v for _, v in good], 3)
+    assert sorted(map(str, (r["vec_id"] for r in got))) == sorted(str(i) for i, _ in good) and {r["n"] for r in got} == {n}
+    assert sorted(r["deviation"] for r in got) == sorted(Decimal(int(x)) for x in deviation)
+    assert got[0]["explained"] == pytest.approx(explained) and got[0]["identity_error"] < 1e-9
+    assert sorted(abs(x) for r in got for x in r["whitened"]) == pytest.approx(sorted(np.abs(white).ravel()), abs=1e-9)
+
+
+def test_no_variance_and_empty(spark):
+    schema = "vec_id long, embedding array<float>"
+    for rows in ([(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        got = whiten(spark.createDataFrame(rows, schema)).collect()
+        assert [(r["whitened"], r["deviation"], r["n"]) for r in got] == [([], 0, len(rows))] * len(rows)
+    for rows in ([], [(1, None)], [(1, [None])]):
+        assert whiten(spark.createDataFrame(rows, schema)).count() == 0
+    assert {tuple(r["whitened"]) for r in whiten(spark.createDataFrame([(1, []), (2, [])], schema)).collect()} == {()}
+
+
+def test_exact_beyond_64_bits(spark):
+    rows = [(i, [float(i) * 1e6, 3.0 * i]) for i in range(2000)]
+    got = whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    _, deviation, _, _ = plain([v for _, v in rows], 2)
+    assert sorted(int(r["deviation"]) for r in got) == sorted(deviation) and max(deviation) > 2**63
+
+
+@pytest.mark.parametrize("rank,copies", [(5, 1), (12, 1), (12, 3)])
+def test_bidiagonal(rank, copies):
+    """Rank below the dimension, and equal eigenvalues, are found by restarts."""
+    rng = np.random.default_rng(rank)
+    left, _ = np.linalg.qr(rng.normal(size=(200, 12)))
+    right, _ = np.linalg.qr(rng.normal(size=(12, 12)))
+    values = np.repeat(np.arange(rank, 0, -copies, dtype=float), copies)[:rank] + 1
+    x = (left[:, :rank] * values) @ right[:rank]
+    lanczos = Bidiagonal(lambda w: x.T @ (x @ w), 12, (x * x).sum(), 1)
+    while lanczos.step():
+        pass
+    found, vectors, rest = lanczos.components(rank)
+    assert found == pytest.approx(values) and (rest < 1e-9).all()
+    assert np.abs(np.array(lanczos.v) @ np.array(lanczos.v).T - np.eye(len(lanczos.v))).max() < 1e-12
+    u = np.array([x @ w for w, a in zip(lanczos.w, lanczos.alpha, strict=True) if a > 0])
+    assert np.abs(u @ u.T - np.eye(len(u))).max() < 1e-9
+    assert np.linalg.norm(x @ vectors.T, axis=0) == pytest.approx(values)
