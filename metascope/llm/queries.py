@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, knn, language, line_dedup, lm, mixing, packing, quality, rules, substrings, toxicity, whitening
+from . import jaccard, knn, language, line_dedup, lm, mixing, packing, prefix_trie, quality, rules, substrings, toxicity, whitening
+from ..session import tune
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,9 +106,50 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(table(tune(spark), sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = r"""
+with recursive own as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+-- The checksum by its definition, a byte and then a bit at a time.
+sums(c, rest, crc, bits) as (
+  select c, cast(c as varchar), cast(4294967295 as bigint), 0 from (select distinct c from own) t
+  union all
+  select c, case when bits = 0 then substr(rest, 2) else rest end,
+    case when bits = 0 then xor(crc, cast(ascii(rest) as bigint)) else xor(crc // 2, 3988292384 * (crc % 2)) end, (bits + 1) % 9
+  from sums where bits > 0 or rest <> ''),
+convs as (select c, xor(crc, 4294967295) % 4 as h, c - c % 20 as base from sums where rest = '' and bits = 0),
+rebuilt as (
+  select v.c, o.role, o.text, 0 as part, o.place from convs v join own o on o.c = v.base and o.place <= v.h
+  union all select v.c, o.role, o.text, 1, o.place from convs v join own o on o.c = v.c and o.place > v.h),
+placed as (select c, role, text, row_number() over (partition by c order by part, place) as depth from rebuilt),
+paths(c, depth, node, parent, words) as (
+  select c, cast(0 as bigint), md5(''), cast(null as varchar), 0 from convs
+  union all
+  select p.c, q.depth, md5(p.node || '|' || length(q.role) || '|' || q.role || q.text), p.node, len(regexp_extract_all(q.text, '[^ 	-]+'))
+  from paths p join placed q on q.c = p.c and q.depth = p.depth + 1),
+ends as (select c, max_by(node, depth) as node from paths group by c),
+nodes as (select node, min(depth) as depth, min(parent) as parent, min(c) as conv_id, count(*) as n_convs, min(words) as words from paths group by node),
+children as (select parent as node, count(*) as n from nodes where parent is not null group by parent),
+-- Each node with each node of its subtree: the smallest member of the lower one passes both.
+below as (
+  select a.node, sum((n.n_convs - 1) * n.words) as saved_tokens, count(*) filter (where k.n is null) as n_leaves
+  from nodes n join paths a on a.c = n.conv_id and a.depth <= n.depth left join children k on k.node = n.node group by a.node),
+ids as (select node, string_agg(cast(c as varchar), ',' order by c) as list from ends group by node)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0) as n_children, b.n_leaves,
+  cast(b.saved_tokens as bigint) as saved_tokens, sha256(coalesce(i.list, '')) as ends_sha256
+from nodes n left join nodes p on p.node = n.parent left join children k on k.node = n.node join below b on b.node = n.node left join ids i on i.node = n.node
+"""
+
+
 @query
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = substrings.remove_repeats(table(tune(spark), sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
