@@ -84,6 +84,10 @@ VIEWS: dict[str, str] = {
         union all select arn, 'Team', concat('t',cast(user_id % 5 as string)), 1
           from state_machines where user_id % 7 <> 0
         union all select arn, 'Env', 'Dev', 2 from state_machines where user_id % 10 = 0""",
+    "audit_tags": """
+        select resource_id, key, value from resource_tags
+        union all select concat('job/',name), 'Team', role from jobs where job_id % 3 <> 0
+        union all select concat('stream/',name), 'Env', status from streams where shard_count % 2 = 0""",
     "ml_jobs": """
         select case event_type when 'click' then 'training' when 'view' then 'processing' else 'transform' end as type,
           concat('model-v',cast(user_id % 3 as string),'-',cast(event_id as string)) as name,
@@ -149,6 +153,14 @@ VIEWS: dict[str, str] = {
           concat(cast(90 + n_nationkey as string),'KB') as min_size, cast(null as string) as max_size,
           case when n_nationkey % 2 = 0 then '1995-01-01' end as newer_than, cast(null as string) as older_than
         from nation""",
+    "size_rules": """
+        select concat('c',cast(c_custkey as string)) as rule_id, cast(null as string) as prefix,
+          case when c_custkey % 11 = 0 then concat(cast(c_custkey % 90 as string),' parsecs') else cast(900 + c_custkey * 61 % 95000 as string) end as min_size,
+          case when c_custkey % 13 = 0 then 'big' when c_custkey % 4 = 0 then concat(cast(1 + c_custkey % 90 as string),'KB')
+               else cast(1000 + c_custkey * 61 % 95000 as string) end as max_size,
+          case when c_custkey % 17 = 0 then 'yesterday' when c_custkey % 3 = 0 then concat(cast(10 + c_custkey % 400 as string),' weeks ago') end as newer_than,
+          case when c_custkey % 5 = 0 then concat(cast(c_custkey % 300 as string),' days ago') end as older_than
+        from customer""",
     "tag_lists": """
         select name, user_id % 7 <> 0 as tagged, arn,
           case user_id % 3 when 0 then 'Prod' when 1 then 'Dev' else 'Stage' end as env, user_id % 10 = 0 as again from state_machines""",
@@ -393,6 +405,13 @@ class Fixtures:
             F.concat(F.lit("role/"), "name").alias("roleArn"),
         )
 
+    @cached_property
+    def machine_details_twice(self) -> DataFrame:
+        """Details that landed on two days: the first time all were being deleted."""
+        first = self.machine_details.select("stateMachineArn", F.lit("DELETING").alias("status"), F.lit("role/old").alias("roleArn"))
+        days = [F.to_timestamp(F.lit(f"2024-01-0{d} 00:00:00")).alias("landed_at") for d in (1, 2)]
+        return first.select("*", days[0]).unionByName(self.machine_details.select("*", days[1]))
+
     @cached_property
     def raw_executions(self) -> DataFrame:
         return self.view("executions").select(

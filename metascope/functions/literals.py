@@ -7,6 +7,7 @@ NULL instead (see ``columns``).
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable
 from datetime import UTC, datetime, timedelta
 
@@ -82,3 +83,46 @@ def tag_pairs(value: str | Iterable[str] | dict[str, str] | None, trim: bool = T
 def java_regex(pattern: str) -> str:
     """Named groups of a Python pattern, spelled the way Spark's regex wants them."""
     return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
+
+
+def _runs(items, runs: list[list[str]], top: bool) -> None:
+    """Adds the texts that every match of a parsed pattern holds to ``runs``; a new run begins where they need not adjoin."""
+    parser = re._parser
+    for number, (kind, what) in enumerate(items):
+        if kind == parser.LITERAL:
+            runs[-1].append(chr(what))
+        elif kind == parser.AT:
+            # Only a text's begin, as the first thing of all, ties what follows to the front.
+            if top and number == 0 and what in (parser.AT_BEGINNING, parser.AT_BEGINNING_STRING):
+                runs[0].append("^")
+        elif kind == parser.SUBPATTERN and not what[1] and not what[2]:
+            _runs(what[3], runs, False)
+        else:
+            runs.append([])
+            if kind in (parser.MAX_REPEAT, parser.MIN_REPEAT) and what[0] >= 1:
+                _runs(what[2], runs, False)
+                runs.append([])
+
+
+def required_literals(pattern: str) -> tuple[str, str]:
+    """(prefix, part): what a text must start with, and the longest text it must contain, for ``pattern`` to be found in it.
+
+    Either is empty if the pattern doesn't tell: alternatives, classes and optional
+    parts do not, nor does anything under a flag.  Only what surely holds is told, so
+    a filter on it loses no row.
+    """
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        try:
+            parsed = re._parser.parse(pattern)
+        except (re.error, OverflowError):
+            return "", ""
+    if parsed.state.flags & ~re.UNICODE.value:
+        return "", ""
+    runs: list[list[str]] = [[]]
+    _runs(parsed, runs, True)
+    anchored = parsed.data[:1] and parsed.data[0][0] == re._parser.AT and runs[0][:1] == ["^"]
+    if anchored:
+        runs[0] = runs[0][1:]
+    texts = ["".join(run) for run in runs]
+    return texts[0] if anchored else "", max(texts, key=len)

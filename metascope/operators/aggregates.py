@@ -37,6 +37,19 @@ def by_service(resources: DataFrame) -> DataFrame:
     return resources.groupBy("service").agg(F.count("*").alias("n"))
 
 
+def tag_audit(resources: DataFrame, tag_rows: DataFrame, key: str = "resource_id") -> DataFrame:
+    """Resources, and those of them without any tag, per service.
+
+    ``resources`` has service and ``key``.  A resource in the list twice is one;
+    services whose resources all have tags are listed with 0.
+    """
+    listed = resources.select("service", key).distinct()
+    tagged = tag_rows.select(F.col("resource_id").alias(key)).distinct().withColumn("_tagged", F.lit(1))
+    marked = listed.join(tagged, key, "left")
+    untagged = F.count(F.when(F.col("_tagged").isNull(), 1))
+    return marked.groupBy("service").agg(F.count(F.lit(1)).alias("n"), untagged.alias("n_untagged"))
+
+
 def instance_hours(jobs: DataFrame, instance_type: str, seconds: str = "training_time_seconds") -> DataFrame:
     """Hours that jobs ran on one instance type, in one row."""
     used = filters.equals(jobs, "instance_type", instance_type)

@@ -28,10 +28,16 @@ def contains(df: DataFrame, column: str, value: str | None) -> DataFrame:
 def matches(df: DataFrame, column: str, pattern: str | None) -> DataFrame:
     """Rows where ``pattern`` is found anywhere in the text.
 
-    A regex cannot be pushed to the scan: combine it with ``prefix`` if one is
-    known.
+    A regex cannot be pushed to the scan, but what every match must start with or
+    contain can: it is taken from the pattern and filtered on first.
     """
-    return df.filter(F.col(column).rlike(L.java_regex(pattern))) if pattern else df
+    if not pattern:
+        return df
+    start, part = L.required_literals(pattern)
+    df = prefix(df, column, start)
+    if part != start:
+        df = contains(df, column, part)
+    return df.filter(F.col(column).rlike(L.java_regex(pattern)))
 
 
 def equals(df: DataFrame, column: str, value: str | None) -> DataFrame:

@@ -8,7 +8,11 @@ splits a hot key of a sort-merge join otherwise (see ``session``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import literals as L
@@ -16,6 +20,9 @@ from . import filters
 
 MISS_POLICIES = ("null", "sentinel", "error", "drop")
 
+# When a detail landed; the newest counts.
+LANDED = "landed_at"
+
 
 def enrich(
     df: DataFrame,
@@ -28,7 +35,9 @@ def enrich(
 ) -> DataFrame:
     """Adds ``columns``, computed over ``details``, by a join on ``key``.
 
-    Of several details of a key the one with the greatest columns counts.
+    Of several details of a key the one that landed last counts, by ``landed_at``
+    if the details have it (``read_details`` adds it); of those that landed
+    together, and without that column, the one with the greatest columns.
 
     ``miss`` says what a row without details gets: NULLs (``null``), a fixed
     text in one column (``sentinel``, a pair of column and text), a text in an
@@ -36,8 +45,9 @@ def enrich(
     """
     if miss not in MISS_POLICIES:
         raise ValueError(f"miss must be one of {MISS_POLICIES}: {miss!r}")
-    right = one_per_key(details.select(key, *[c.alias(name) for name, c in columns.items()]), key)
-    right = right.withColumn("_found", F.lit(True))
+    landed = [LANDED] if LANDED in details.columns else []
+    right = one_per_key(details.select(key, *landed, *[c.alias(name) for name, c in columns.items()]), key)
+    right = right.drop(*landed).withColumn("_found", F.lit(True))
     if miss == "drop":
         return df.join(right, key, "inner").drop("_found")
     joined = df.join(right, key, "left")
@@ -61,11 +71,18 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The last run of each job: by start, missing starts first, then by id.
 
-    A ``max`` of structs is combined before the shuffle, so one job with most
-    of the runs sends one row per map task.
+    In two steps: the last start is a fixed-width ``max``, a hash aggregate that is
+    combined before the shuffle; then the runs with that start are looked up, and
+    the few that share it are ranked by id.  No step sorts all runs.
     """
-    last = F.max(F.struct("started_on", "id", "status", "execution_time")).alias("last")
-    return runs.groupBy("job_name").agg(last).select(
+    last = runs.groupBy("job_name").agg(F.max("started_on").alias("_start")).withColumnRenamed("job_name", "_job")
+    at_last = F.col("job_name").eqNullSafe(F.col("_job")) & F.col("started_on").eqNullSafe(F.col("_start"))
+    newest = runs.join(last.hint("shuffle_hash"), at_last, "left_semi")
+    order = Window.partitionBy("job_name").orderBy(*[F.desc(c) for c in ("id", "status", "execution_time")])
+    ranked = newest.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
+    # One row a job is left; grouping them tells Spark so, which then drops a lookup that nobody reads.
+    one = ranked.groupBy("job_name").agg(F.collect_list(F.struct("id", "status", "started_on", "execution_time"))[0].alias("last"))
+    return one.select(
         "job_name",
         F.col("last.id").alias("last_run_id"),
         F.col("last.status").alias("last_run_status"),
@@ -123,6 +140,24 @@ def with_details(ids: DataFrame, details: DataFrame, key: str) -> DataFrame:
     return details.join(ids.select(key), key, "left_semi")
 
 
+# As many values an IN may have to reach the row groups of a Parquet scan one by one.
+PUSHED_IN = 10
+
+
+def by_ids(details: DataFrame, key: str, ids: Iterable[str]) -> DataFrame:
+    """Details of a short list of ids, as a filter that reaches the scan.
+
+    Ids go to the scan in tens, so that Parquet's bloom filters (``find_by`` of
+    ``save_table``) can tell the row groups that hold none of them.  For a list
+    that is data, use ``with_details``.
+    """
+    listed = sorted(set(ids))
+    if not listed:
+        return details.filter(F.lit(False))
+    tens = [F.col(key).isin(listed[i : i + PUSHED_IN]) for i in range(0, len(listed), PUSHED_IN)]
+    return details.filter(reduce(or_, tens))
+
+
 def machines_with_failures(machines: DataFrame, failed: DataFrame, name_prefix: str = "") -> DataFrame:
     """Each machine under a prefix with each of its failed executions."""
     few = filters.prefix(machines, "name", name_prefix).select(F.col("name").alias("machine_name"), "arn")

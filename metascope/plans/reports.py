@@ -19,7 +19,9 @@ def cost_report(
     over_seconds: int = 7200,
     over_shards: int = 10,
 ) -> DataFrame:
-    """(section, name, metric): large objects in GiB, long trainings in hours, streams by shards.
+    """(section, name, instance_type, metric): large objects in GiB, long trainings in hours, streams by shards.
+
+    ``instance_type`` is that of trainings listed with their details, NULL elsewhere.
 
     ``top`` keeps the so many largest objects; all of them without it.
     """
@@ -30,7 +32,8 @@ def cost_report(
     wide = filters.above(streams, "shard_count", over_shards)
 
     def section(df, label, name, metric):
-        return df.select(F.lit(label).alias("section"), F.col(name).alias("name"), metric.alias("metric"))
+        instance = F.col("instance_type") if "instance_type" in df.columns else F.lit(None).cast("string")
+        return df.select(F.lit(label).alias("section"), F.col(name).alias("name"), instance.alias("instance_type"), metric.alias("metric"))
 
     return unions.union(
         section(large, "large_objects", "key", C.gib("size")),

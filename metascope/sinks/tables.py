@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import exports
+from . import layout
 
 
 def check_name(name: str) -> str:
@@ -17,6 +20,36 @@ def check_name(name: str) -> str:
     return name
 
 
+def _folder(spark: SparkSession, path: str) -> tuple[object, object]:
+    """A path and its file system, as Spark's own file access has them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, base: str) -> list[str]:
+    """The version folders below ``base``, oldest first."""
+    folder, files = _folder(spark, base)
+    if not files.exists(folder):
+        return []
+    names = sorted(status.getPath().getName() for status in files.listStatus(folder))
+    return [f"{base}/{name}" for name in names if name.startswith("v-")]
+
+
+def _publish(spark: SparkSession, staged: str, name: str) -> None:
+    """Gives the written table ``staged`` the name; until then, and if it fails, the old table has it."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"alter table {staged} rename to {name}")
+        return
+    old = f"{staged}_old"
+    spark.sql(f"alter table {name} rename to {old}")
+    try:
+        spark.sql(f"alter table {staged} rename to {name}")
+    except BaseException:
+        spark.sql(f"alter table {old} rename to {name}")
+        raise
+    spark.sql(f"drop table {old}")
+
+
 def save_table(
     df: DataFrame,
     name: str,
@@ -24,33 +57,62 @@ def save_table(
     path: str | None = None,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    interleave_by: Sequence[str] = (),
     bucket_by: tuple[int, str] | None = None,
+    find_by: Sequence[str] = (),
+    keep: int = 1,
 ) -> DataFrame:
     """Creates or replaces a table and returns it.
 
+    In two steps: the rows are written to a fresh folder ``v-...`` below ``path``, or
+    below the table's folder in the warehouse; then the name is given to what was
+    written.  A write that fails leaves the old table as it was.  ``keep`` earlier
+    folders stay for readers that have begun; older ones are removed.
+
     ``partition_by`` suits columns that are filtered on and have few values (a
     bucket, a snapshot date); rows are dealt by them first, so that a value has
     few files, and a hot one several.  ``cluster_by`` sorts the rows into ranges of
-    equal size, so that filters on prefixes and bounds skip most files; give it
-    unique columns, e.g. bucket and key, and a hot bucket fills many files.
-    ``bucket_by`` (number, column) stores rows by a *unique* join key, such as
-    an execution's ARN, and joins on it need no shuffle; a hot key would end up
-    in one file and one task.  With ``path`` the data lies there, else in the
-    warehouse.
+    equal size, so that filters on prefixes and bounds of the first column skip most
+    files; give it unique columns, e.g. bucket and key, and a hot bucket fills many
+    files.  ``interleave_by`` clusters by several columns at once, for filters on any
+    of them (see ``layout.interleaved``).  ``bucket_by`` (number, column) stores rows
+    by a *unique* join key, such as an execution's ARN, and joins on it need no
+    shuffle; a hot key would end up in one file and one task.  ``find_by`` names id
+    columns that get bloom filters, so that looking up a few ids skips row groups.
     """
+    spark = df.sparkSession
+    check_name(name)
+    if cluster_by and interleave_by:
+        raise ValueError("give cluster_by or interleave_by")
+    base = (path or f"{spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri}/{name}.versions").rstrip("/")
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    staged = f"{name}_{version.replace('-', '_')}"
+
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    elif interleave_by:
+        df = layout.interleaved(df, interleave_by)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("error").format("parquet").option("path", f"{base}/{version}")
+    for column in find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(check_name(name))
-    return df.sparkSession.table(name)
+    try:
+        writer.saveAsTable(staged)
+        _publish(spark, staged, name)
+    except BaseException:
+        spark.sql(f"drop table if exists {staged}")
+        folder, files = _folder(spark, f"{base}/{version}")
+        files.delete(folder, True)
+        raise
+    for old in _versions(spark, base)[: -1 - keep]:
+        folder, files = _folder(spark, old)
+        files.delete(folder, True)
+    return spark.table(name)
 
 
 # The names of the listings and of their tables.

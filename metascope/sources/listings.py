@@ -8,7 +8,7 @@ NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -250,10 +250,17 @@ def streams(raw: DataFrame, *, prefix: str = "", details: DataFrame | None = Non
     no_metrics = F.array().cast("array<string>")
     # A row per shard, and one for a page without any.
     by_shard = details.select("*", F.explode_outer("Shards.ShardId").alias("shard"))
+    landed = F.col(lookups.LANDED) if lookups.LANDED in details.columns else F.lit(0)
+
+    def newest(column: str) -> Column:
+        """Of the pages that have it the one that landed last counts."""
+        value = F.col(column)
+        return F.max(F.when(value.isNotNull(), F.struct(landed.alias("at"), value.alias("value"))))["value"]
+
     described = by_shard.groupBy(F.col("StreamName").alias("name")).agg(
-        F.max("StreamStatus").alias("status"),
-        F.max("StreamModeDetails.StreamMode").alias("mode"),
-        F.max("RetentionPeriodHours").alias("retention_hours"),
+        newest("StreamStatus").alias("status"),
+        newest("StreamModeDetails.StreamMode").alias("mode"),
+        newest("RetentionPeriodHours").alias("retention_hours"),
         F.count_distinct("shard").cast("int").alias("shard_count"),
         F.max("StreamCreationTimestamp").alias("created_at"),
         F.max("StreamARN").alias("arn"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lookups import LANDED
 from .schemas import DETAILS, ENVELOPES, PLAIN_NAMES
 
 
@@ -106,6 +107,21 @@ def read_tags(spark: SparkSession, path: str, resource: str, tags: str = "Tags",
     return tag_rows(spark.read.schema(schema).options(mode="FAILFAST").json(path), resource, tags, key, value)
 
 
-def read_details(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Landed describe results under ``path``, one JSON record per line."""
-    return spark.read.schema(DETAILS[entity]).json(path)
+def read_details(spark: SparkSession, path: str, entity: str, on_damage: str = "fail") -> DataFrame:
+    """Landed describe results under ``path``, one JSON record per line, with the time they landed.
+
+    ``landed_at`` is the time of a record's file: of details of one key that landed
+    twice, lookups take the newest.  ``on_damage`` is as in ``read_pages``; a line
+    that cannot be read is one page.
+    """
+    kind = T.StructType.fromDDL(DETAILS[entity])
+    schema = _with_damaged(kind, "fail" if on_damage == "fail" else "column")
+    rows = spark.read.schema(schema).options(**_reading(on_damage)).json(path)
+    landed = F.col("_metadata.file_modification_time").alias(LANDED)
+    if on_damage == "fail":
+        return rows.select("*", landed)
+    whole = F.col(DAMAGED).isNull()
+    if on_damage == "skip":
+        # A record without its id is nobody's detail; naming it keeps the damaged text from being the only column read.
+        return rows.select(*kind.names, DAMAGED, landed).filter(whole & F.col(kind.names[0]).isNotNull()).drop(DAMAGED)
+    return rows.select(*[F.when(whole, F.col(c)).alias(c) for c in kind.names], DAMAGED, landed)

@@ -69,6 +69,19 @@ def _(fx):
     return a.by_service(all_services(fx))
 
 
+@query(
+    "agg5_tag_audit",
+    """select service, count(*) as n, count(*) filter (where r not in (select resource_id from audit_tags)) as n_untagged
+        from (select 'jobs' as service, concat('job/', name) as r from jobs union all select 'streams', concat('stream/', name) from streams
+          union all select 'machines', arn from state_machines) t group by service""",
+)
+def _(fx):
+    """Untagged resources by service; tags are relations of all services together."""
+    ids = {"jobs": ("jobs", F.concat(F.lit("job/"), "name")), "streams": ("streams", F.concat(F.lit("stream/"), "name")), "machines": ("state_machines", F.col("arn"))}
+    parts = [fx.view(view).select(F.lit(service).alias("service"), key.alias("resource_id")) for service, (view, key) in ids.items()]
+    return a.tag_audit(unions.union(*parts), fx.view("audit_tags"))
+
+
 @query(
     "agg6_instance_hours",
     """select cast(sum(seconds) as bigint) as total_seconds, sum(seconds) / 3600 as total_hours from ml_jobs
@@ -178,16 +191,16 @@ def _(fx):
 
 @query(
     "set3_cost_report",
-    """select * from (select 'large_objects' as section, key as name, size / 1073741824 as metric from objects
+    """select * from (select 'large_objects' as section, key as name, null as instance_type, size / 1073741824 as metric from objects
           where size >= 102400 order by size desc, key limit 10) a
-        union all select 'long_training', name, seconds / 3600 from ml_jobs where type = 'training' and seconds > 7200
-        union all select 'wide_streams', name, cast(shard_count as double) from streams
+        union all select 'long_training', name, instance_type, seconds / 3600 from ml_jobs where type = 'training' and seconds > 7200
+        union all select 'wide_streams', name, null, cast(shard_count as double) from streams
           where shard_count > 10 and shard_count % 5 <> 4""",
 )
 def _(fx):
     return reports.cost_report(
         listings.objects(fx.raw_objects),
-        listings.training_jobs(fx.raw_ml_jobs("training")),
+        listings.training_jobs(fx.raw_ml_jobs("training"), details=fx.ml_details("training")),
         listings.streams(fx.raw_streams, details=fx.stream_details),
         min_size="100KB",
         top=10,

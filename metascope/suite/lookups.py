@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import EVENTS_AS_OF
 from ..operators import lookups
-from ..operators.prefixes import counts_by_prefix
+from ..operators.prefixes import counts_by_prefix, sums_by_prefix
 from ..sources import listings
 from .registry import LATEST, iso, query
 
@@ -83,6 +83,18 @@ def _(fx):
     return listings.state_machines(fx.raw_state_machines, details=fx.machine_details)
 
 
+@query(
+    "jn2_newest_details",
+    """select name, arn,
+        case when user_id % 6 = 5 then 'ERROR_FETCHING_DETAILS' when user_id % 4 = 0 then 'UNKNOWN' else 'ACTIVE' end as status,
+        case when user_id % 6 <> 5 then 'role/' || name end as role_arn from state_machines""",
+)
+def _(fx):
+    """Of details that landed twice the newest count, though the older ones are greater as text."""
+    machines = listings.state_machines(fx.raw_state_machines, details=fx.machine_details_twice)
+    return machines.select("name", "arn", "status", "role_arn")
+
+
 LAST_TAGS = """(select resource_id, key, arg_max(value, seq) as value from resource_tags group by resource_id, key)"""
 
 
@@ -114,6 +126,18 @@ def _(fx):
     )
 
 
+@query(
+    "jn4_short_id_list",
+    f"""select query_id, state, {iso("submission_time")} from query_executions
+        where query_id in ({", ".join(f"'{7 * i}'" for i in range(25))})""",
+)
+def _(fx):
+    found = lookups.by_ids(fx.raw_queries[1], "QueryExecutionId", [str(7 * i) for i in range(25)])
+    return found.select(
+        F.col("QueryExecutionId").alias("query_id"), F.col("Status.State").alias("state"), F.col("Status.SubmissionDateTime").alias("submission_time")
+    )
+
+
 @query(
     "jn5_machines_with_failures",
     f"""select m.name as machine_name, m.arn as machine_arn, e.execution_arn, e.name, {iso("e.start_date")},
@@ -156,6 +180,15 @@ def counts_by_prefixes(fx):
     return counts_by_prefix(listings.objects(fx.raw_objects), "key", fx.view("prefix_list"))
 
 
+@query(
+    "jn7_sums_by_prefix",
+    """select p.prefix, count(o.key) as n, cast(coalesce(sum(o.size), 0) as bigint) as bytes
+        from prefix_list p left join objects o on starts_with(o.key, p.prefix) group by p.prefix""",
+)
+def _(fx):
+    return sums_by_prefix(listings.objects(fx.raw_objects), "key", fx.view("prefix_list"), "size")
+
+
 @query(
     "jn8_untagged",
     """select name, arn from state_machines where arn not in (select resource_id from resource_tags)""",

@@ -59,3 +59,40 @@ def _(fx):
 )
 def _(fx):
     return ordering.limit(listings.objects(fx.raw_objects), 10, F.desc("size"), "key").select("key", "size")
+
+
+@query(
+    "lim1_many_newest",
+    """select bucket, key, size from objects order by last_modified desc, bucket, key limit 25000""",
+)
+def _(fx):
+    """More rows than one task should hold, with many ties at the cut."""
+    rows = listings.objects(fx.raw_objects).select("bucket", "key", "size", "last_modified")
+    return ordering.first_rows(rows, 25_000, "last_modified", ["bucket", "key"], descending=True).drop("last_modified")
+
+
+@query(
+    "lim1_first_names",
+    """select bucket, key from objects order by key, bucket limit 7777""",
+)
+def _(fx):
+    return ordering.first_rows(listings.objects(fx.raw_objects).select("bucket", "key"), 7777, "key", ["bucket"])
+
+
+@query(
+    "lim3_page_index",
+    """select cast((r - 1) // 1000 as bigint) as page, bucket, key from
+        (select bucket, key, row_number() over (order by bucket, key) as r from objects) t where (r - 1) % 1000 = 0""",
+)
+def _(fx):
+    return ordering.page_index(listings.objects(fx.raw_objects), ["bucket", "key"])
+
+
+@query(
+    "lim3_read_page",
+    """select bucket, key, size from objects order by bucket, key limit 100 offset 700""",
+)
+def _(fx):
+    objects = listings.objects(fx.raw_objects)
+    index = ordering.page_index(objects, ["bucket", "key"], 100)
+    return ordering.read_page(objects, index, 7).select("bucket", "key", "size")

@@ -40,16 +40,16 @@ def names(df, column="name"):
 
 
 def test_objects(land):
-    record = {"Key": "test-prefix-file1.txt", "Size": 1024, "LastModified": DAY, "StorageClass": "STANDARD"}
+    record = {"Key": "reports/may.txt", "Size": 1024, "LastModified": DAY, "StorageClass": "STANDARD"}
     other = {"Key": "other", "Size": 1, "LastModified": DAY, "ETag": '"abc"', "Owner": {"DisplayName": "me"}}
     raw = land("objects", {"Contents": [record, other]}, {"KeyCount": 0})
-    assert names(listings.objects(raw, prefix="test-prefix-"), "key") == ["test-prefix-file1.txt"]
+    assert names(listings.objects(raw, prefix="reports/"), "key") == ["reports/may.txt"]
     full = {r["key"]: r for r in listings.objects(raw, extended=True).collect()}
     assert full["other"]["storage_class"] == "STANDARD"
     assert (full["other"]["etag"], full["other"]["owner"]) == ("abc", "me")
-    assert (full["test-prefix-file1.txt"]["etag"], full["test-prefix-file1.txt"]["owner"]) == ("", "")
+    assert (full["reports/may.txt"]["etag"], full["reports/may.txt"]["owner"]) == ("", "")
     exported = {r["key"]: r["storage_class"] for r in exports.objects(raw).collect()}
-    assert exported == {"test-prefix-file1.txt": "STANDARD", "other": None}
+    assert exported == {"reports/may.txt": "STANDARD", "other": None}
 
 
 def test_folder_partitions_become_columns(land):
@@ -117,8 +117,8 @@ def test_job_columns_of_the_last_run_only_when_asked_for(land, spark):
 
 
 def test_streams(land):
-    raw = land("streams", {"StreamNames": ["clickstream-prod", "clickstream-dev", "other"]})
-    assert names(listings.streams(raw, prefix="clickstream-")) == ["clickstream-dev", "clickstream-prod"]
+    raw = land("streams", {"StreamNames": ["orders-live", "orders-beta", "other"]})
+    assert names(listings.streams(raw, prefix="orders-")) == ["orders-beta", "orders-live"]
 
 
 def test_stream_details(land, spark):
@@ -153,8 +153,8 @@ def test_machines_without_filter(land):
 
 
 def test_machines_by_prefix(land):
-    raw = machines(land, "TestMachineA", "AnotherMachineB")
-    assert names(listings.state_machines(raw, prefix="Test")) == ["TestMachineA"]
+    raw = machines(land, "NightlyLoad", "WeeklyLoad")
+    assert names(listings.state_machines(raw, prefix="Night")) == ["NightlyLoad"]
 
 
 def test_machines_by_regex(land):
@@ -197,7 +197,8 @@ def test_machine_details(land, spark):
 def test_landed_details(spark, tmp_path):
     (tmp_path / "0.json").write_text(json.dumps({"stateMachineArn": "arn:A", "status": "ACTIVE", "other": 1}))
     details = pages.read_details(spark, str(tmp_path), "state_machines")
-    assert details.collect() == [("arn:A", "ACTIVE", None)]
+    assert details.drop("landed_at").collect() == [("arn:A", "ACTIVE", None)]
+    assert details.select("landed_at").first()[0] is not None
 
 
 def test_machines_limited(land):

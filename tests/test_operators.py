@@ -382,14 +382,16 @@ def test_average_skips_types_without_seconds(spark):
 
 def test_cost_report(spark):
     objects = spark.createDataFrame([("a", 1024**3), ("b", 5), ("c", 2 * 1024**3)], "key string, size bigint")
-    training = spark.createDataFrame([("t", 7200), ("u", 7201)], "name string, training_time_seconds bigint")
+    training = spark.createDataFrame([("t", 7200, "x"), ("u", 7201, "m5")], "name string, training_time_seconds bigint, instance_type string")
     streams = spark.createDataFrame([("s", 10), ("w", 11)], "name string, shard_count int")
     rows = reports.cost_report(objects, training, streams, min_size="1GB", top=1).collect()
     assert {tuple(r) for r in rows} == {
-        ("large_objects", "c", 2.0),
-        ("long_training", "u", 7201 / 3600),
-        ("wide_streams", "w", 11.0),
+        ("large_objects", "c", None, 2.0),
+        ("long_training", "u", "m5", 7201 / 3600),
+        ("wide_streams", "w", None, 11.0),
     }
+    rows = reports.cost_report(objects, training.drop("instance_type"), streams).collect()
+    assert {r["instance_type"] for r in rows} == {None}
 
 
 def test_clean_up(spark):

@@ -113,10 +113,49 @@ def test_prefix_of_jobs_reaches_their_runs(landed):
     assert "StringStartsWith(JobName,b)" in pushed(listings.jobs(landed["jobs"], prefix="b", status="FAILED", runs=runs))
 
 
-def test_last_run_is_combined_before_the_shuffle(landed):
+def test_last_run_is_found_without_sorting_all_runs(landed):
     text = plan(lookups.latest_runs(listings.all_job_runs(landed["runs"])))
-    assert text.count("Exchange") == 1
-    assert text.index("Exchange") < text.index("partial_max")
+    assert "SortAggregate" not in text and "SortMergeJoin" not in text
+    assert "HashAggregate" in text and "partial_max" in text
+    # What is sorted has been looked up by its start before.
+    assert text.index("Sort ") < text.index("HashJoin")
+
+
+def test_regex_literals_reach_the_scan(landed):
+    stacks = listings.stacks(landed["stacks"], regex="^building-(prod|dev)-.*7")
+    assert "StringStartsWith(StackName,building-)" in pushed(stacks)
+    assert "StringContains(StackName,-prod-)" in pushed(listings.stacks(landed["stacks"], regex="[a-z]+-prod-[0-9]"))
+    assert "String" not in pushed(listings.stacks(landed["stacks"], regex="prod|dev"))
+
+
+def test_rules_are_rows_not_lists(landed):
+    text = plan(rules.match_rules(listings.objects(landed["objects"]), landed["rules"], "2001-11-05"))
+    assert "collect_list" not in text
+
+
+def test_many_rules_without_prefix(spark, no_broadcast):
+    """10,000 rules that have neither bucket nor prefix: an object meets those of its cell, not all."""
+    empty = F.lit(None).cast("string")
+    table = spark.range(10_000).select(
+        F.concat(F.lit("r"), "id").alias("rule_id"),
+        empty.alias("prefix"),
+        (F.col("id") * 4).cast("string").alias("min_size"),
+        (F.col("id") * 4 + 3).cast("string").alias("max_size"),
+        empty.alias("newer_than"),
+        empty.alias("older_than"),
+    )
+    matched = rules.match_rules(hot_objects(spark).filter("size < 4000"), table, "2024-01-01")
+    assert "NestedLoop" not in plan(matched) and "Cartesian" not in plan(matched)
+    assert matched.filter("rule_id <> concat('r', size div 4)").count() == 0 and matched.count() == 4000
+
+
+def test_many_rows_are_selected_not_sorted(spark):
+    """Rows before the cut are kept where they are; those at it are put in range partitions."""
+    df = spark.range(0, 100_000, 1, 8).select((F.col("id") * 7919 % 1000).alias("v"), "id")
+    found = ordering.first_rows(df, 60_550, "v", ["id"])
+    assert "Union" in plan(found) and plan(found).count("TakeOrdered") == 1
+    want = sorted((i * 7919 % 1000, i) for i in range(100_000))[:60_550]
+    assert sorted((r["v"], r["id"]) for r in found.collect()) == want
 
 
 def test_unused_last_run_is_not_computed(landed):
@@ -199,12 +238,17 @@ def test_prefixes_of_a_long_list_are_counted_before_the_join(spark, no_broadcast
     check_counts(counts)
 
 
-def test_prefixes_outside_the_list_are_dropped_before_the_shuffle(spark, tmp_path):
-    listed_prefixes(spark).write.parquet(str(tmp_path / "list"))
-    counts = prefixes.counts_by_prefix(hot_objects(spark), "key", spark.read.parquet(str(tmp_path / "list")))
-    text = plan(counts)
-    assert re.search(r"Filter .*>= Subquery", text) and text.index("partial_count") < text.index("Generate")
-    check_counts(counts)
+def test_prefix_sums_do_not_copy_rows_by_length(spark, no_broadcast):
+    """One row per text and no more, whatever the number of lengths: nothing explodes on the side of the texts."""
+    few = prefixes.counts_by_prefix(hot_objects(spark), "key", listed_prefixes(spark))
+    lengths = spark.range(1, 60).select(F.expr("repeat('h', int(id))").alias("prefix")).unionAll(listed_prefixes(spark))
+    many = prefixes.counts_by_prefix(hot_objects(spark), "key", lengths)
+
+    def shape(df):
+        return [plan(df).count(part) for part in ("Generate", "Exchange", "Join")]
+
+    assert shape(few) == shape(many)
+    check_counts(many.filter("prefix not like 'hh%'").filter("prefix <> 'h'"))
 
 
 def test_hot_rule_is_split(spark, small_skew):
