@@ -12,6 +12,8 @@ their slots by their rank among pieces of their length.
 from __future__ import annotations
 
 import itertools
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -22,8 +24,27 @@ from pyspark.sql import functions as F
 
 from .common import process_cache, saved, small_batches
 
-CACHED_PARTS = 1_000_000
-JOINED_PARTS = 4096
+# What a worker keeps at most: parts of texts between spaces, and words, each with its ids.
+CACHED = 150_000
+JOINED = 4096
+
+
+def _kept_by_regex() -> tuple[re.Pattern, re.Pattern]:
+    """The words of a byte-level tokenizer, for texts of common characters, and what finds any other character.
+
+    Only characters whose class is the same in every version of Unicode are taken:
+    those up to U+024F and general punctuation.
+    """
+    common = [*map(chr, range(0x250)), *map(chr, range(0x2010, 0x2028))]
+
+    def of(kind: str) -> str:
+        return "".join(re.escape(c) for c in common if unicodedata.category(c).startswith(kind))
+
+    space = "\t\n\x0b\x0c\r \x85\xa0"
+    letters, numbers = of("L"), of("N")
+    # The contractions that byte-level tokenizers cut off.
+    parts = ["'(?:s|t|re|ve|m|ll|d)", f" ?[{letters}]+", f" ?[{numbers}]+", f" ?[^{space}{letters}{numbers}]+", f"[{space}]+(?![^{space}])", f"[{space}]+"]
+    return re.compile("|".join(parts)), re.compile("[^\x00-\u024f\u2010-\u2027]")
 
 
 class TextEncoder:
@@ -31,60 +52,90 @@ class TextEncoder:
 
     Such a tokenizer never joins what is before a space to the space, if the space
     follows a character that isn't white space; so a text is the sum of its parts
-    cut there, and most parts have been seen before.  Other texts are encoded whole.
+    cut there, and most parts have been seen before.  A new part is cut into the
+    tokenizer's words, and only new words are encoded.  Texts with rare characters,
+    or that spell out one of the tokenizer's added tokens, are encoded whole.
     """
 
-    def __init__(self, path: str, most: int = CACHED_PARTS):
+    def __init__(self, path: str, most: int = CACHED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Special tokens written out in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if token.content]
         # Ids are laid over the text by the bytes that they stand for, one per character of their names.
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.widths = np.zeros(max(names.values()) + 1, np.int64)
         self.widths[list(names.values())] = [len(name) for name in names]
         self.most = most
+        self.words_in, self.rare = _kept_by_regex()
         self.parts: dict[str, bytes | None] = {}
+        self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of words with their spaces: many are encoded as one text, and its ids cut where the words begin."""
-        groups = [parts[i : i + JOINED_PARTS] for i in range(0, len(parts), JOINED_PARTS)]
-        joined = self._encode([" " + " ".join(group) for group in groups])
+    def _encode_words(self, words: list[str], between: str) -> list[bytes]:
+        """Ids of words without white space, that follow a space, which is part of them, or a newline, which isn't.
+
+        Many are encoded as one text, and its ids are cut where the words begin.
+        """
         out: list[bytes] = []
-        for group, ids in zip(groups, joined, strict=True):
+        for i in range(0, len(words), JOINED):
+            group = words[i : i + JOINED]
+            ids = self._encode([between + between.join(group)])[0]
             ends = np.cumsum(self.widths[np.frombuffer(ids, "<u4")])
-            wanted = np.cumsum([len(part.encode()) + 1 for part in group])
-            at = np.searchsorted(ends, wanted)
-            if len(ends) and at[-1] < len(ends) and np.array_equal(ends[at], wanted):
-                cuts = [0, *(4 * (at + 1)).tolist()]
-                out += [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:], strict=False)]
+            wanted = np.cumsum([len(word.encode()) + 1 for word in group])
+            at = np.searchsorted(ends, wanted) + 1
+            first = np.concatenate([[0], at[:-1]])
+            sound = at[-1] <= len(ends) and np.array_equal(ends[at - 1], wanted)
+            if sound and between == "\n":
+                sound = np.array_equal(ends[first], np.concatenate([[0], wanted[:-1]]) + 1)
+                first = first + 1
+            if sound:
+                out += [ids[4 * lo : 4 * hi] for lo, hi in zip(first.tolist(), at.tolist(), strict=True)]
             else:
-                out += self._encode([" " + part for part in group])
+                out += self._encode([" " + word if between == " " else word for word in group])
         return out
 
+    def _learn(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of common characters, word by word."""
+        split = [self.words_in.findall(text) for text in texts]
+        new = list(set().union(*split) - self.words.keys())
+        spaced = [w[1:] for w in new if w[0] == " " and not w[1:2].isspace() and len(w) > 1]
+        bare = [w for w in new if not w[0].isspace()]
+        self.words.update(zip([" " + w for w in spaced], self._encode_words(spaced, " "), strict=True))
+        self.words.update(zip(bare, self._encode_words(bare, "\n"), strict=True))
+        other = [w for w in new if w not in self.words]
+        self.words.update(zip(other, self._encode(other), strict=True))
+        known = self.words.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+    def _forget(self) -> None:
+        """The oldest half of what is kept too much of."""
+        for kept in (self.parts, self.words):
+            if len(kept) > self.most:
+                for key in list(itertools.islice(kept, len(kept) - self.most // 2)):
+                    del kept[key]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self.parts) > self.most:
-            for part in list(itertools.islice(self.parts, self.most // 2)):
-                del self.parts[part]
+        self._forget()
         split = [text.split(" ") for text in texts]
         missing = set().union(*(rest for _, *rest in split)) - self.parts.keys()
         # A part that is empty or ends in white space has a space after that, unless it is the last.
-        plain = [part for part in missing if part and not part[-1].isspace()]
+        plain = [part for part in missing if part and not part[-1].isspace() and not self.rare.search(part)]
         self.parts.update(dict.fromkeys(missing))
-        self.parts.update(zip(plain, self._encode_parts(plain), strict=True))
+        self.parts.update(zip(plain, self._learn([" " + part for part in plain]), strict=True))
         known = self.parts.__getitem__
-        heads = self._encode([first for first, *_ in split])
+        heads = [first for first, *_ in split]
+        common = [i for i, first in enumerate(heads) if not self.rare.search(first)]
+        begun: dict[int, bytes] = dict(zip(common, self._learn([heads[i] for i in common]), strict=True))
         out: list[bytes | None] = []
-        for (first, *rest), ids in zip(split, heads, strict=True):
+        for i, (first, *rest) in enumerate(split):
             try:
-                sound = not rest or (first and not first[-1].isspace())
-                out.append(ids + b"".join(map(known, rest)) if sound else None)
+                sound = i in begun and (not rest or (first and not first[-1].isspace())) and not any(t in texts[i] for t in self.added)
+                out.append(begun[i] + b"".join(map(known, rest)) if sound else None)
             except TypeError:  # a part without ids of its own
                 out.append(None)
         whole = [i for i, ids in enumerate(out) if ids is None]
@@ -94,8 +145,8 @@ class TextEncoder:
 
 
 def tokenised_pieces(docs: DataFrame, id_column: str, text: str, tokenizer: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32) of every piece, and its ids if asked for."""
-    names = ["id", "piece", "start", "length", "ids_crc32"] + (["ids"] if with_ids else [])
+    """(id, piece, start, length, ids_crc32, salt) of every piece, and its ids if asked for; the salt tells equal rows apart."""
+    names = ["id", "piece", "start", "length", "ids_crc32", "salt"] + (["ids"] if with_ids else [])
     end = np.asarray([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,6 +154,7 @@ def tokenised_pieces(docs: DataFrame, id_column: str, text: str, tokenizer: str,
         if tokenizer not in cache:
             cache[tokenizer] = TextEncoder(tokenizer)
         encoder = cache[tokenizer]
+        done = 0
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             out: list[list] = [[], [], [], [], [], []]
@@ -117,12 +169,14 @@ def tokenised_pieces(docs: DataFrame, id_column: str, text: str, tokenizer: str,
                         column.append(value)
             arrays = [batch.column("id").take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int32())]
             arrays += [pa.array(x, pa.int64()) for x in out[2:5]]
+            arrays.append(pa.array(np.arange(done, done + len(out[0]))))
+            done += len(out[0])
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in out[5]], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema = f"id {kind}, piece int, start long, length long, ids_crc32 long, salt long" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).mapInArrow(cut, schema)
 
 
@@ -172,7 +226,8 @@ def pack(
     """A row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset``.
 
     ``tokenizer`` is the path of a tokenizers file on every executor.  A text is
-    its ids and then ``end_id``; NULL or empty texts are ``end_id`` alone.  Longer
+    its ids and then ``end_id``; NULL or empty texts are ``end_id`` alone, and an
+    added token of the file that a text spells out is that token.  Longer
     texts are cut into pieces of ``capacity``, of which the first may be shorter.
     Each row of ``docs`` is packed, also if rows repeat or ids are NULL; columns
     other than the two named are not read.  ``with_ids`` adds the ids themselves.
@@ -184,7 +239,7 @@ def pack(
     # Ranks within a length: positions within a part of it, after the parts before.
     total = pieces.count()
     parts = max(1, -(-total // rank_rows))
-    order = ["id", "piece", "start", "ids_crc32"]
+    order = ["id", "piece", "start", "ids_crc32", "salt"]
     placed = pieces.withColumn("part", F.pmod(F.xxhash64(*order), F.lit(parts)))
     by_part = saved(placed.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     by_length = by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()

@@ -15,15 +15,13 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_parts_give_the_ids_of_the_whole(tokenizer):
     rng = random.Random(1)
-    texts = ["", " ", "a b", "a  b", "a   b", "a\n b", "a \nb", "a\n \nb", " a", "a ", "it's a dog's", "<|endoftext|> x", "x <|endoftext|>", "é ü　 ñ"]
-    texts += ["".join(rng.choice(" \n\tab'sé1.!~") for _ in range(rng.randint(0, 16))) for _ in range(3000)]
+    texts = ["", " ", "a b", "a  b", "a   b", "a\n b", "a \nb", "a\n \nb", " a", "a ", "it's a dog's", "<|endoftext|> x", "x <|endoftext|>", "é ü　 ñ", "a <|endoftext|> b", "Ωμέγα test", "l’été “x” … y", "x\x85y z\xa0w", "ab\u2028cd ef", "a'll b'LL 's ' s", "12½ x²"]
+    texts += ["".join(rng.choice(" \n\tab'sé1.!~’Ω") for _ in range(rng.randint(0, 16))) for _ in range(3000)]
     encoder = packing.TextEncoder(PATH, most=500)
     for lo in range(0, len(texts), 400):
         part = texts[lo : lo + 400]
