@@ -304,7 +304,7 @@ def ends(convs: DataFrame, turns: DataFrame) -> DataFrame:
 
 def build_trie(
     conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-    shard_nodes: int = 65_536, band: int = 64, queue: int = 200_000,
+    shard_nodes: int = 4096, band: int = 64, queue: int = 200_000,
 ) -> DataFrame:
     """The prefix trie of rebuilt conversations, one row per node.
 
