@@ -10,9 +10,10 @@ context are spread over several shards.
 
 The model is a bigram model with Dirichlet smoothing, over a unigram model:
 p(w | v) = (c(v w) + strength * p(w)) / (c(v) + strength).
-The unigram model adds one to the count of every word of the table, so a word
-never seen gets half of what a word seen once gets, and all words together get 1.
-For that the distinct words are counted before.
+The unigram model adds one to the count of every training word and of one unseen
+word, so a word never seen gets half of what a word seen once gets, and the known
+words and that one together get 1.  For that the distinct words of training texts
+are counted before; other texts change no score but their own.
 """
 
 from __future__ import annotations
@@ -211,7 +212,7 @@ def score_texts(
     are the words of the whole text, A-Z lower-cased, and an end; a NULL or empty
     text is an end alone.  ``base_score`` is the add-one unigram score, ``score`` the
     bigram model's log10 probability.  With ``unknown`` None the unigram model adds
-    one to every word of the table; a number is the probability of the one event
+    one to every training word and to an unseen one; a number is the probability of the one event
     "a word never seen", whichever word it is, so then ``score`` is not one of the
     text itself and rises with unseen words.  Each row is a document, also if rows
     repeat or ids are NULL.  Other columns are not read.  Without any training rows all
@@ -229,7 +230,8 @@ def score_texts(
         F.pmod(row_hash(id_column, text, seed=3), F.lit(parts)).cast("int").alias("part"), F.col(id_column).alias("id"), whole.alias("text"), chosen.alias("train")
     )
     dealt = rows.repartition("part")
-    n_words = sum(distinct_words(rows)) if unknown is None else 0
+    # Other texts must not tell the model anything: only training words are counted, and one more for all unseen.
+    n_words = distinct_words(rows.filter("train"))[0] + 1 if unknown is None else 0
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         part = tokens_of(table.column("text"))

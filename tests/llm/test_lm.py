@@ -72,12 +72,12 @@ def test_unseen_words_share_their_mass(spark):
     found = lm.score_texts(frame, F.col("doc_id").rlike("^[0-9]$"), unknown=None).collect()
     scores = {r["doc_id"]: r["score"] for r in found}
     assert scores["junk"] < scores["clean"] and scores["zq5"] < scores["ran"]
-    # Every word of the table, and the end, after a begin: together 1.
+    # Every training word, the end and one unseen word, after a begin: together 1.
     tokens = [x for t in clean for x in [*t.split(), None]]
     n, counts = len(tokens), Counter(tokens)
-    n_words = len(counts) + len(unseen)
+    n_words = len(counts) + 1
     p = {w: (counts[w] + 1) / (n + n_words) for w in [*counts, *unseen]}
-    assert math.isclose(sum(p.values()), 1)
+    assert math.isclose(sum(p[w] for w in [*counts, unseen[0]]), 1)
     pairs = Counter(q for t in clean for q in zip([0, *t.split()], [*t.split(), None], strict=True))
     context = {0: len(clean), **counts}
     for r in found:
@@ -86,6 +86,19 @@ def test_unseen_words_share_their_mass(spark):
         assert abs(r["score"] - want) < 1e-6
 
 
+def test_other_texts_change_no_score(spark):
+    """What is held out teaches nothing: more of it leaves all other rows as they are."""
+    rows = [(i, t) for i, t in enumerate(["the cat sat on the mat", "the dog sat on the rug", "a cat ran", "unseen words here"])]
+    more = [(10 + i, f"held out {i} zq{i} the cat sat") for i in range(40)]
+
+    def scores(part):
+        frame = spark.createDataFrame(part, "doc_id long, text string")
+        found = lm.score_texts(frame, F.col("doc_id") < 3, unknown=None).collect()
+        return {r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in found if r["doc_id"] < 10}
+
+    assert scores(rows) == scores(rows + more)
+
+
 def test_no_training_rows_and_no_rows(spark):
     found = lm.score_texts(docs(spark), F.lit(False)).collect()
     assert {(r["n_known"], r["base_score"], r["train_tokens"]) for r in found} == {(0, 0.0, 0)}
