@@ -11,7 +11,6 @@ their slots by their rank among pieces of their length.
 
 from __future__ import annotations
 
-import itertools
 import re
 import unicodedata
 import zlib
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import process_cache, saved, small_batches
 
 # What a worker keeps at most: parts of texts between spaces, and words, each with its ids.
-CACHED = 150_000
+CACHED = 500_000
 JOINED = 4096
 
 
@@ -68,8 +67,9 @@ class TextEncoder:
         self.widths[list(names.values())] = [len(name) for name in names]
         self.most = most
         self.words_in, self.rare = _kept_by_regex()
-        self.parts: dict[str, bytes | None] = {}
+        self.parts: dict[str, bytes | bool] = {}
         self.words: dict[str, bytes] = {}
+        self.passing: set[str] = set()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -98,7 +98,7 @@ class TextEncoder:
                 out += self._encode([" " + word if between == " " else word for word in group])
         return out
 
-    def _learn(self, texts: list[str]) -> list[bytes]:
+    def _spelled(self, texts: list[str]) -> list[bytes]:
         """Ids of texts of common characters, word by word."""
         split = [self.words_in.findall(text) for text in texts]
         new = list(set().union(*split) - self.words.keys())
@@ -111,36 +111,51 @@ class TextEncoder:
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
+    def _learn(self, parts: set[str]) -> None:
+        """Ids of parts that follow a space; False for those that have none of their own."""
+        self.parts.update(dict.fromkeys(parts, False))
+        # A part that is empty or ends in white space has a space after that, unless it is the last.
+        plain = [p for p in parts if p and not p[-1].isspace() and (p.isascii() or not self.rare.search(p))]
+        letters = [p for p in plain if p.isalpha()]
+        mixed = [p for p in plain if not p.isalpha()]
+        self.parts.update(zip(letters, self._encode_words(letters, " "), strict=True))
+        self.parts.update(zip(mixed, self._spelled([" " + p for p in mixed]), strict=True))
+
     def _forget(self) -> None:
-        """The oldest half of what is kept too much of."""
-        for kept in (self.parts, self.words):
-            if len(kept) > self.most:
-                for key in list(itertools.islice(kept, len(kept) - self.most // 2)):
-                    del kept[key]
+        """What was learned beyond the limit: frequent parts come early, so the first ones are the ones to keep."""
+        for part in self.passing:
+            self.parts.pop(part, None)
+        self.passing = set()
+        if len(self.words) > self.most:
+            self.words = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        self._forget()
-        split = [text.split(" ") for text in texts]
-        missing = set().union(*(rest for _, *rest in split)) - self.parts.keys()
-        # A part that is empty or ends in white space has a space after that, unless it is the last.
-        plain = [part for part in missing if part and not part[-1].isspace() and not self.rare.search(part)]
-        self.parts.update(dict.fromkeys(missing))
-        self.parts.update(zip(plain, self._learn([" " + part for part in plain]), strict=True))
-        known = self.parts.__getitem__
-        heads = [first for first, *_ in split]
-        common = [i for i, first in enumerate(heads) if not self.rare.search(first)]
-        begun: dict[int, bytes] = dict(zip(common, self._learn([heads[i] for i in common]), strict=True))
+        split, missing, known = [], set(), self.parts.get
+        for text in texts:
+            first, *rest = text.split(" ")
+            ids = list(map(known, rest))
+            holes = [i for i, x in enumerate(ids) if x is None] if None in ids else ()
+            missing.update([rest[i] for i in holes])
+            split.append((first, rest, ids, holes))
+        self._learn(missing)
+        if len(self.parts) > self.most:
+            self.passing = missing
+        common = [i for i, (first, *_) in enumerate(split) if not self.rare.search(first)]
+        begun: dict[int, bytes] = dict(zip(common, self._spelled([split[i][0] for i in common]), strict=True))
         out: list[bytes | None] = []
-        for i, (first, *rest) in enumerate(split):
+        for i, (first, rest, ids, holes) in enumerate(split):
+            for hole in holes:
+                ids[hole] = known(rest[hole])
+            sound = i in begun and (not rest or (first and not first[-1].isspace())) and not any(t in texts[i] for t in self.added)
             try:
-                sound = i in begun and (not rest or (first and not first[-1].isspace())) and not any(t in texts[i] for t in self.added)
-                out.append(begun[i] + b"".join(map(known, rest)) if sound else None)
+                out.append(begun[i] + b"".join(ids) if sound else None)
             except TypeError:  # a part without ids of its own
                 out.append(None)
         whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
+        self._forget()
         return out
 
 
