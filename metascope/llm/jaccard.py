@@ -319,17 +319,26 @@ def _similar(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return overlap * 100 >= (a + b - overlap) * percent
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their sizes and bitmaps don't rule out.
+def _differing(a: str, b: str) -> Column:
+    """The number of bits in which two bitmaps differ."""
+    words = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(BITMAP_WORDS)]
+    return sum(words[1:], words[0])
+
+
+def _admitted(differing: Column, a: Column, b: Column, percent: int) -> Column:
+    """Whether bitmaps leave enough for a link.
 
     A shingle in one set only changes at most one bit, so the bits in which two
     bitmaps differ bound the overlap from above.
     """
+    return _similar(F.floor((a + b - differing) / 2), a, b, percent)
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and bitmaps don't rule out."""
     one, two = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in "ab")
     both = pairs.join(one, "a").join(two, "b")
-    differing = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    bound = F.floor((F.col("a_n") + F.col("b_n") - differing) / 2)
-    return both.filter(_similar(bound, F.col("a_n"), F.col("b_n"), percent)).select("a", "b")
+    return both.filter(_admitted(_differing("a_bits", "b_bits"), F.col("a_n"), F.col("b_n"), percent)).select(*pairs.columns)
 
 
 def _members(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
@@ -429,32 +438,33 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     tested: DataFrame | None = None
 
     def measured(pairs: DataFrame) -> DataFrame:
-        """Saved similarities of the pairs that may reach the limit; sets are made once for each node."""
+        """Saved similarities of pairs; sets are made once for each node."""
         nonlocal members, tested
         pairs = saved(pairs, "shingle-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        possible = saved(_possible(pairs, nodes, percent), "possible-pairs")
-        wanted = possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct()
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         if members is not None:
             wanted = wanted.join(members.select("node"), "node", "left_anti")
         made = saved(_members(docs, nodes, wanted, id_column, text, k), "shingle-members")
         members = made if members is None else members.unionByName(made)
-        return saved(_measured(possible, members, percent), "shingle-links")
+        return saved(_measured(pairs, members, percent), "shingle-links")
 
-    # Round one: each node and the pivot of most of its lists; places bound the overlap.
+    # What nodes and pivots of their lists may be linked, by places and then by bitmaps: the rounds read these pairs only.
     rest = F.when(F.col("at") < 0, F.col("n")).otherwise(F.least(F.col("pivot_n") - F.col("pivot_at"), F.col("n") - F.col("at")))
     near_pivot = (F.col("node") != F.col("pivot")) & _similar(rest, F.col("pivot_n"), F.col("n"), percent)
-    met = lists.filter(near_pivot).groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("times"))
-    star = met.groupBy("node").agg(F.max(F.struct("times", "pivot")).alias("best")).select(F.col("best.pivot").alias("a"), F.col("node").alias("b"))
+    met = lists.filter(near_pivot).groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    near = saved(_possible(met, nodes, percent), "near-pivots")
+
+    # Round one: each node and the pivot of most of its lists.
+    star = near.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
     known = measured(star)
 
     # More rounds: one pair for two components that meet as pivot and member of a list.
     for _ in range(ROUNDS):
         roots = saved(connected_components(known.filter("linked").select("a", "b")), "shingle-roots")
-        parts = _labelled(lists.filter(near_pivot), roots, "node", "part")
-        parts = _labelled(parts, roots, "pivot", "pivot_part").filter("part <> pivot_part")
-        one = parts.groupBy("part", "pivot_part").agg(F.min(F.struct("pivot", "node")).alias("p"))
-        pairs = one.select(F.col("p.pivot").alias("a"), F.col("p.node").alias("b")).distinct()
+        parts = _labelled(_labelled(near, roots, "b", "part"), roots, "a", "pivot_part").filter("part <> pivot_part")
+        one = parts.groupBy("part", "pivot_part").agg(F.min(F.struct("a", "b")).alias("p"))
+        pairs = one.select("p.a", "p.b").distinct()
         known = known.unionByName(measured(pairs.join(tested, ["a", "b"], "left_anti")))
     roots = saved(connected_components(known.filter("linked").select("a", "b")), "shingle-roots")
 
@@ -464,7 +474,8 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     distances = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away")).distinct()
     open_lists = labelled.join(mixed, "key", "left_semi").join(distances, ["pivot", "node"], "left")
     open_lists = open_lists.withColumn("away", F.when(F.col("pivot") == F.col("node"), F.lit(0.0)).otherwise(F.col("away")))
-    open_lists = saved(open_lists.select("key", "node", "n", "at", "part", "pivot", "away"), "open-lists")
+    open_lists = open_lists.join(nodes.select("node", "bits"), "node")
+    open_lists = saved(open_lists.select("key", "node", "n", "at", "part", "pivot", "away", "bits"), "open-lists")
     a, b = open_lists.alias("a"), open_lists.alias("b")
     fits = (
         (F.col("a.key") == F.col("b.key"))
@@ -475,9 +486,10 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     # The first shared shingle leaves at most what follows it in both sets.
     rest = F.when(F.col("a.at") < 0, F.least("a.n", "b.n")).otherwise(F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")))
     fits &= _similar(rest, F.col("a.n"), F.col("b.n"), percent)
-    near = (F.col("a.pivot") != F.col("b.pivot")) | F.col("a.away").isNull() | F.col("b.away").isNull()
-    near |= F.abs(F.col("a.away") - F.col("b.away")) <= 1 - percent / 100 + 1e-9
-    across = a.join(b, fits & near).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    apart = (F.col("a.pivot") != F.col("b.pivot")) | F.col("a.away").isNull() | F.col("b.away").isNull()
+    apart |= F.abs(F.col("a.away") - F.col("b.away")) <= 1 - percent / 100 + 1e-9
+    fits &= _admitted(_differing("a.bits", "b.bits"), F.col("a.n"), F.col("b.n"), percent)
+    across = a.join(b, fits & apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     last = measured(across.join(done, ["a", "b"], "left_anti"))
     links = known.unionByName(last).filter("linked").select("a", "b")
