@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-LEAF = 64
+LEAF = 512
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -139,37 +139,42 @@ class Search:
         distance = 2 * self.longest**2 - 2 * self.longest / norm * kth
         return np.maximum(distance, 0) * self.limit
 
-    def block(self, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, kth: np.ndarray) -> Iterator[tuple]:
-        """(query_id, ids, scores): the nearest of the block for each query that may have some here."""
+    def block(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, kth: np.ndarray) -> Iterator[tuple]:
+        """(query's row, ids, rows, scores): the nearest of the block for each query that may have some here."""
+        groups = leaves(self.projected(x, False))
+        order = np.concatenate(groups)
+        # Leaves are slices.
+        rows, ids, x = rows[order], ids[order], np.ascontiguousarray(x[order])
+        ends = np.cumsum([len(g) for g in groups])
+        begins = ends - [len(g) for g in groups]
         points, at = self.projected(x, False), self.projected(q, True)
-        groups = leaves(points)
-        low = np.stack([points[g].min(0) for g in groups])
-        high = np.stack([points[g].max(0) for g in groups])
+        low, high = np.minimum.reduceat(points, begins), np.maximum.reduceat(points, begins)
         far = box_distance(at, low, high)
         order = np.argsort(far, axis=1)
         norm = np.sqrt((q * q).sum(1))
         for i in range(len(q)):
-            best_ids, best, bound = np.zeros(0, np.int64), np.zeros(0), kth[i]
+            best_rows, best_ids, best, bound = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), kth[i]
+            slack = 1e-9 * self.longest * norm[i]
             for g in order[i]:
                 distance = max(2 * self.longest**2 - 2 * self.longest / norm[i] * bound, 0.0) if bound > -np.inf else np.inf
                 if far[i, g] > distance * self.limit:
                     break
-                own = groups[g]
-                own = own[ids[own] != query_ids[i]]
                 # A fast product sifts; what may count is summed in a fixed order.
-                rough = x[own] @ q[i]
-                own = own[rough >= bound - 1e-9 * self.longest * norm[i]] if bound > -np.inf else own
+                rough = x[begins[g] : ends[g]] @ q[i]
+                own = begins[g] + np.flatnonzero(rough >= bound - slack)
+                own = own[rows[own] != asked[i]]
                 if not len(own):
                     continue
+                best_rows = np.concatenate([best_rows, rows[own]])
                 best_ids = np.concatenate([best_ids, ids[own]])
                 best = np.concatenate([best, inner_products(x[own], q[i])])
                 if len(best) > self.k:
-                    top = np.lexsort((best_ids, -best))[: self.k]
-                    best_ids, best = best_ids[top], best[top]
+                    top = np.lexsort((best_rows, best_ids, -best))[: self.k]
+                    best_rows, best_ids, best = best_rows[top], best_ids[top], best[top]
                 if len(best) == self.k:
                     bound = max(bound, best.min())
             if len(best):
-                yield query_ids[i], best_ids, best
+                yield asked[i], best_ids, best_rows, best
 
 
 def valid_vectors(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -190,16 +195,18 @@ def nearest(
     """(query_id, rank, id, score) of the ``k`` largest inner products found for each query.
 
     Queries are the vectors whose id is divisible by ``every``; candidates are all
-    others, that is, all rows with another id.  Ties go to the smaller id.  Rows with
-    a NULL id, and vectors that are NULL, empty, zero, of another length than most,
-    or hold NULL or what isn't finite, take no part.  Equal ids are different rows.
+    other rows.  Ties go to the smaller id.  Rows with a NULL id, and vectors that are
+    NULL, empty, zero, of another length than most (they have no inner product with
+    the others), or hold NULL or what isn't finite, take no part.  Rows with equal ids
+    are different rows: each is asked, and each is a candidate of the others.
     The cells are fitted on at most ``sample`` rows, by a hash of the id; every row is
     indexed.  Vectors are searched whole, so with fewer than ``k`` candidates all are
     returned.  Other columns are not read.  An empty table gives an empty one.
     """
     spark = vectors.sparkSession
     result = "query_id long, rank int, id long, score double"
-    rows = saved(valid_vectors(vectors, id_column, vector), "vectors")
+    # Rows are told apart by a number that is written with them.
+    rows = saved(valid_vectors(vectors, id_column, vector).withColumn("row", F.monotonically_increasing_id()), "vectors")
     norm2 = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
     facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("most"), F.max(F.size("x")).alias("d")).first()
     if not facts["n"]:
@@ -217,11 +224,11 @@ def nearest(
             if len(batch):
                 yield batch.assign(cell=cells.cell_of(search.projected(np.stack(batch["x"].to_numpy()), False)).astype("int32"))
 
-    placed = saved(rows.mapInPandas(put, "id long, x array<double>, cell int"), "vector-cells")
+    placed = saved(rows.mapInPandas(put, "id long, x array<double>, row long, cell int"), "vector-cells")
     # Blocks of a cell, so that a cell of any size, also of one vector many times, is many tasks' work.
     per_cell = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select("cell", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("blocks"))
     per_cell = saved(per_cell, "cell-blocks")
-    candidates = placed.join(per_cell, "cell").withColumn("block", F.pmod(F.xxhash64("id", "x"), F.col("blocks")).cast("int")).select("cell", "block", "id", "x")
+    candidates = placed.join(per_cell, "cell").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).select("cell", "block", "row", "id", "x")
     queries = placed.filter(F.col("id") % every == 0)
 
     def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,10 +249,10 @@ def nearest(
                 yield batch.iloc[row].assign(cell=cell.astype("int32"))
 
     def searched(wanted: DataFrame) -> DataFrame:
-        """Wanted: (id, x, cell, kth).  Queries of a cell go to each of its blocks, some thousand at a time."""
+        """Wanted: (row, x, cell, kth).  Queries of a cell go to each of its blocks, some thousand at a time."""
         asked = wanted.join(per_cell, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         many = wanted.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_queries)).cast("int").alias("turns"))
-        asked = asked.join(many, "cell").withColumn("turn", F.pmod(F.xxhash64("id", "x"), F.col("turns")).cast("int"))
+        asked = asked.join(many, "cell").withColumn("turn", F.pmod(F.xxhash64("row"), F.col("turns")).cast("int"))
         stored = candidates.join(many, "cell").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
         keys = ["cell", "block", "turn"]
 
@@ -253,30 +260,31 @@ def nearest(
             found = []
             if len(left) and len(right):
                 x, q = np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())
-                found = list(search.block(left["id"].to_numpy(), x, right["id"].to_numpy(), q, right["kth"].to_numpy()))
+                found = list(search.block(*(left[c].to_numpy() for c in ("row", "id")), x, right["row"].to_numpy(), q, right["kth"].to_numpy()))
             if not found:
-                return pd.DataFrame({"query_id": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "score": np.zeros(0)})
+                return pd.DataFrame({"query": np.zeros(0, np.int64), "id": np.zeros(0, np.int64), "row": np.zeros(0, np.int64), "score": np.zeros(0)})
             return pd.DataFrame(
                 {
-                    "query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]),
+                    "query": np.repeat([f[0] for f in found], [len(f[1]) for f in found]),
                     "id": np.concatenate([f[1] for f in found]),
-                    "score": np.concatenate([f[2] for f in found]),
+                    "row": np.concatenate([f[2] for f in found]),
+                    "score": np.concatenate([f[3] for f in found]),
                 }
             )
 
-        pairs = stored.select(*keys, "id", "x").groupBy(*keys).cogroup(asked.select(*keys, "id", "x", "kth").groupBy(*keys))
-        return pairs.applyInPandas(pair, "query_id long, id long, score double")
+        pairs = stored.select(*keys, "row", "id", "x").groupBy(*keys).cogroup(asked.select(*keys, "row", "x", "kth").groupBy(*keys))
+        return pairs.applyInPandas(pair, "query long, id long, row long, score double")
 
     def best(found: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+        order = Window.partitionBy("query").orderBy(F.desc("score"), "id", "row")
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    # Equal ids as queries ask the same question once.
-    asked = queries.select("id", "x").dropDuplicates(["id"])
-    first = saved(best(searched(asked.mapInPandas(home, "id long, x array<double>, cell int, kth double"))), "neighbours-at-home")
-    bound = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    asked = queries.select("row", "x")
+    first = saved(best(searched(asked.mapInPandas(home, "row long, x array<double>, cell int, kth double"))), "neighbours-at-home")
+    bound = first.groupBy("query").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
     kth = F.when(F.col("n") == k, F.col("least")).otherwise(F.lit(float("-inf")))
-    again = asked.join(bound, asked["id"] == bound["query_id"], "left").select("id", "x", F.coalesce(kth, F.lit(float("-inf"))).alias("kth"))
-    second = searched(again.mapInPandas(visits, "id long, x array<double>, kth double, cell int").select("id", "x", "cell", "kth"))
-    final = best(first.select("query_id", "id", "score").unionByName(second))
-    return final.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_column), "score")
+    again = asked.join(bound, asked["row"] == bound["query"], "left").select("row", "x", F.coalesce(kth, F.lit(float("-inf"))).alias("kth"))
+    second = searched(again.mapInPandas(visits, "row long, x array<double>, kth double, cell int").select("row", "x", "cell", "kth"))
+    final = best(first.select("query", "id", "row", "score").unionByName(second))
+    named = queries.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
+    return final.join(named, "query").select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_column), "score")
