@@ -62,6 +62,17 @@ def one_per_id(rows: DataFrame, id_column: str, label: str, text: str) -> DataFr
     return rows.groupBy(id_column).agg(F.min(label).alias(label), first.alias(text)).select(label, text)
 
 
+def others(df: DataFrame, *added: str) -> list[str]:
+    """The columns of ``df`` without those that the added ones take the place of; names are the same in any case."""
+    taken = {name.lower() for name in added}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def packed(names: list[str]) -> Column:
+    """The named columns as one struct; a name may hold dots."""
+    return F.struct(*[F.col(f"`{c}`") for c in names])
+
+
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, across its tasks."""
     home = sys.modules.setdefault("_worker_caches", ModuleType("_worker_caches"))

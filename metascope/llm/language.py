@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import others, packed, small_batches
 from .words import slices, text_bytes
 
 WINDOW = 64
@@ -196,15 +196,17 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
     """``docs`` with ``lang_pred`` and ``score``, the mean probability of that language over all positions of the text.
 
     A text that is NULL or has no letter is ``und`` with score 0, and so is every
-    text without a model.  The added columns take the place of columns of their names.
+    text without a model.  Of equally likely languages the first by name counts.
+    Repeated rows come back as often, with equal results.  The added columns take the
+    place of columns of their names, in any case.  An empty table gives an empty one.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = others(docs, "lang_pred", "score")
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
     if model is None:
         return kept.select("*", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     small_batches(docs.sparkSession)
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    packed = kept.select(F.struct(*names).alias("doc"), F.col(text).alias("text"), lettered.alias("lettered"))
+    rows = docs.select(packed(names).alias("doc"), F.col(text).alias("text"), lettered.alias("lettered"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = np.asarray([*model.languages, "und"], object)
@@ -220,5 +222,5 @@ def identify(docs: DataFrame, model: LanguageModel | None, text: str = "text") -
                 [batch.column("doc"), pa.array(languages[best], pa.string()), pa.array(np.clip(score, 0, 1))], names=["doc", "lang_pred", "score"]
             )
 
-    schema = packed.select("doc").schema.add("lang_pred", "string").add("score", "double")
-    return packed.mapInArrow(predict, schema).select("doc.*", "lang_pred", "score")
+    schema = rows.select("doc").schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(predict, schema).select("doc.*", "lang_pred", "score")

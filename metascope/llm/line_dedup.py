@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, LOWER, UPPER, row_hash, saved
+from .common import ASCII_SPACE, LOWER, UPPER, others, packed, row_hash, saved
 
 KEY = ["h1", "h2"]
 
@@ -86,7 +86,7 @@ def dedup_lines(
     """``docs`` without the lines found in at least ``min_docs`` documents.
 
     ``text`` holds the other lines, joined by newlines; ``n_lines`` and
-    ``n_dropped`` (long) are added, and take the place of columns of that name.
+    ``n_dropped`` (long) are added, and take the place of columns of that name in any case.
     Each row is a document, also if rows repeat or the id is NULL.  NULL or empty
     text is one empty line, kept as an empty text.  Keys shorter than
     ``min_chars`` are never dropped.  An empty table gives an empty table.
@@ -99,7 +99,7 @@ def dedup_lines(
     at = docs.select(*row, F.posexplode(F.transform(lines_of(text), line_key)).alias("pos", "key"))
     at = at.filter(F.length("key") >= min_chars).select("r1", "r2", "pos", *_hashes(F.col("key")))
     hits = at.join(frequent, KEY, "left_semi").groupBy("r1", "r2").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
-    joined = docs.select(F.struct(*docs.columns).alias("doc"), *row).join(hits, ["r1", "r2"], "left")
+    joined = docs.select(packed(docs.columns).alias("doc"), *row).join(hits, ["r1", "r2"], "left")
 
     # The lines between one dropped line and the next are slices.
     lines = F.split(F.coalesce(F.col(f"doc.{text}"), F.lit("")), "\n")
@@ -118,5 +118,4 @@ def dedup_lines(
         "n_dropped": F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).cast("long"),
     }
     made = joined.select("doc", F.struct(*[value.alias(name) for name, value in new.items()]).alias("made"))
-    others = [F.col(f"doc.`{c}`") for c in docs.columns if c not in new]
-    return made.select(*others, "made.*")
+    return made.select(*[F.col(f"doc.`{c}`") for c in others(docs, *new)], "made.*")

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, saved
+from .common import ASCII_SPACE, others, saved
 
 
 def word_count(text: str) -> Column:
@@ -81,10 +81,11 @@ def mix(
     row short of its target.  A NULL source is a source of its own.  Rows without
     words belong to a block like others and cost nothing; a source without any words
     keeps each row once.  Equal rows stand at one place and are taken together or
-    not at all.  Columns with the names of the added ones are replaced.
+    not at all.  Columns with the names of the added ones, in any case, are replaced.
+    An empty table gives an empty one.
     """
     added = ["copy", "weight", "place"]
-    columns = [c for c in docs.columns if c not in added]
+    columns = others(docs, *added)
     # One scan for all statistics: words and place of every row, without its text.
     place = _place(id_column, text, seed)
     measured = saved(docs.select(F.col(f"`{source}`").alias("s"), word_count(text).alias("w"), place.alias("place")), "mix-rows")

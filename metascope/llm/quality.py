@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import one_per_id, small_batches
+from .common import one_per_id, others, packed, small_batches
 from .words import BASE, Words, mix, words_of
 
 WORD_BITS, SHAPE_BITS = 15, 12
@@ -158,10 +158,11 @@ def grade_quality(
 
     The whole text counts.  A NULL text, or one without words, has grade 0 and
     tail_prob 0.  Without a model all grades are NULL and every row is kept.
-    The added columns take the place of columns of their names.
+    Repeated rows come back as often, with equal grades.  The added columns take the
+    place of columns of their names, in any case.  An empty table gives an empty one.
     """
     added = {"expected_grade": "double", "tail_prob": "double", "kept": "boolean"}
-    names = [c for c in docs.columns if c not in added]
+    names = others(docs, *added)
     if model is None:
         none = F.lit(None).cast("double")
         return docs.select(*[F.col(f"`{c}`") for c in names], none.alias("expected_grade"), none.alias("tail_prob"), F.lit(True).alias("kept"))
@@ -171,16 +172,17 @@ def grade_quality(
         for batch in batches:
             n = batch.num_rows
             expected, tail = np.zeros(n), np.zeros(n)
-            for lo, hi, words in words_of(batch.column(text)):
+            for lo, hi, words in words_of(batch.column("text")):
                 p = model.at_least(model.scores(words)) * (words.count() > 0)[:, None]
                 expected[lo:hi], tail[lo:hi] = p.sum(axis=1), p[:, at_least - 1]
-            arrays = [batch.column(c) for c in names] + [pa.array(expected), pa.array(tail), pa.array(tail >= threshold)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *added])
+            arrays = [batch.column("doc"), pa.array(expected), pa.array(tail), pa.array(tail >= threshold)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc", *added])
 
-    schema = docs.select(*[F.col(f"`{c}`") for c in names]).schema
+    rows = docs.select(packed(names).alias("doc"), F.col(text).alias("text"))
+    schema = rows.select("doc").schema
     for name, kind in added.items():
         schema = schema.add(name, kind)
-    return docs.mapInArrow(score, schema)
+    return rows.mapInArrow(score, schema).select("doc.*", *added)
 
 
 def ratings_of(labels: DataFrame) -> DataFrame:

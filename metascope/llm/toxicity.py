@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import one_per_id, small_batches
+from .common import one_per_id, others, packed, small_batches
 from .words import slices, text_bytes
 
 SPAN, DECAY, LONGEST = 5, 0.6, 12
@@ -427,9 +427,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "te
 
     The whole text counts.  NULL and empty texts, and texts without letters or
     digits, get the score of the lowest margin.  Without a model every score is 0.
-    The added columns take the place of columns of their names.
+    Repeated rows come back as often, with equal scores.  The added columns take the
+    place of columns of their names, in any case.  An empty table gives an empty one.
     """
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
+    names = others(docs, "score", "predicted")
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
     if model is None:
         return kept.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
@@ -444,6 +445,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "te
                 out[lo:hi] = model.probabilities(model.margins(folded))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out), pa.array((out >= threshold).astype(np.int32))], names=["doc", "score", "predicted"])
 
-    packed = kept.select(F.struct(*names).alias("doc"), F.col(text).alias("text"))
-    schema = packed.select("doc").schema.add("score", "double").add("predicted", "integer")
-    return packed.mapInArrow(score, schema).select("doc.*", "score", "predicted")
+    rows = docs.select(packed(names).alias("doc"), F.col(text).alias("text"))
+    schema = rows.select("doc").schema.add("score", "double").add("predicted", "integer")
+    return rows.mapInArrow(score, schema).select("doc.*", "score", "predicted")

@@ -129,6 +129,25 @@ def test_few_and_no_vectors(spark):
     assert knn.nearest(few.limit(0)).count() == 0
 
 
+def test_equal_ids_are_rows_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0]), (3, [0.5, 0.5])]
+    found = knn.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=2).collect()
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found)
+    # Two rows find their equal and 3; the third finds 3 and one of the two.
+    assert got == sorted([(20, 1, 20, 1.0), (20, 2, 3, 0.5)] * 2 + [(20, 1, 3, 0.5), (20, 2, 20, 0.0)])
+
+
+def test_recall_on_the_given_table(spark):
+    sf = f"{TESTDATA}/sf0.01"
+    rows = [(r["vec_id"], list(map(float, r["embedding"]))) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    want = brute_neighbours(rows, 20, 20)
+    found = {}
+    for r in queries.QUERIES["op5_nearest_neighbours"](spark, sf).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert found.keys() == want.keys()
+    assert sum(len(found[q] & {j for j, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
 def test_chi_square():
     assert math.isclose(knn.chi_square_quantile(0.95, 8), 15.5073, rel_tol=1e-4)
 
@@ -139,7 +158,7 @@ def test_queries_have_their_columns(spark):
         "op4_quality_classifier": ["doc_id", "expected_grade", "tail_prob", "kept"],
         "op8_source_mixing": ["doc_id", "source", "copy", "weight", "place"],
     }
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     for name, columns in want.items():
         assert queries.QUERIES[name](spark, SF).columns == columns
 
