@@ -153,22 +153,23 @@ def fit(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, languages:
 
 def train(
     docs: DataFrame, use: Column, text: str = "text", lang: str = "lang", id_column: str = "doc_id",
-    texts_per_language: int = 150, windows_per_text: int = 12, max_languages: int = 200, steps: int = 250,
+    texts_per_language: int = 150, windows_per_text: int = 12, max_texts: int = 30_000, steps: int = 250,
 ) -> LanguageModel | None:
     """Fits on rows for which ``use`` is true and ``lang`` isn't NULL.
 
-    Of each of the ``max_languages`` most frequent languages some ``texts_per_language``
-    texts, chosen by a hash of the id and the text, give ``windows_per_text`` windows
-    each, from all over the text.  None if there is no such row.
+    Every language is learned.  Of each one ``texts_per_language`` texts at most, chosen
+    by a hash of the id and the text, give ``windows_per_text`` windows each, from all
+    over the text; with very many languages fewer texts, so that they are some
+    ``max_texts`` together, but one of each at least.  None if there is no such row.
     """
     rows = docs.filter(use & F.col(lang).isNotNull() & (F.length(text) > 0))
-    known = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages)
-    counts = [(r[0], r[1]) for r in known.collect()]
+    counts = [(r[0], r[1]) for r in rows.groupBy(lang).count().collect()]
     if not counts:
         return None
     languages = sorted(name for name, _ in counts)
-    # A table of at most max_languages rows.
-    shares = docs.sparkSession.createDataFrame([(name, min(1.0, 1.5 * texts_per_language / n)) for name, n in counts], "lang string, share double")
+    texts_per_language = max(1, min(texts_per_language, max_texts // len(languages)))
+    # A row per language.
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, (1.5 * texts_per_language + 30) / n)) for name, n in counts], "lang string, share double")
     place = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.col(id_column), F.col(text)), 12) / F.lit(float(1 << 52))
     # Windows of characters, each at a place of its own; most are shorter than the network's in bytes.
     span = WINDOW * 3 // 4

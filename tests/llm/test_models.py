@@ -72,6 +72,12 @@ def test_languages_held_out(spark, tables):
     assert language.identify(docs(spark), None).filter("lang_pred = 'und' and score = 0").count() == len(odd_rows())
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, chr(97 + i % 26) * 30 + f" {i}", f"lang{i % 230}") for i in range(460)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), max_texts=100, steps=1)
+    assert sorted(model.languages) == sorted({r[2] for r in rows})
+
+
 def test_backpropagation_through_time():
     """Gradients of one direction against differences."""
     rng = np.random.default_rng(1)

@@ -186,3 +186,16 @@ def test_pipeline(spark):
     assert mixed.join(single, "doc_id", "left_anti").count() == 0
     packed = packing.pack(mixed, queries.tokenizer_path()).agg(F.sum("length").alias("n"), F.count_distinct("sequence_id").alias("s")).first()
     assert packed["s"] <= math.ceil(packed["n"] / 2048) + 2
+
+
+def test_stages_with_odd_rows(spark):
+    """Every stage takes what the one before kept of rows with all that a table may hold, and an empty table."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for rows in (docs(spark).select(*columns), docs(spark, []).select(*columns)):
+        n = rows.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            rows = spark.createDataFrame(stage(spark, rows, SF).collect(), rows.schema)
+            assert rows.columns == columns, name
+            assert rows.count() <= 3 * n
+        packed = corpus_pipeline.STAGES[-1][1](spark, rows, SF)
+        assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in rows.collect()}
