@@ -1,6 +1,8 @@
-"""Many prefixes against many texts, as sums over a sorted layout.
+"""Many prefixes against many texts, without comparing every pair.
 
-In the order of bytes, the texts that start with a prefix are those from the prefix
+``counts_by_prefix`` cuts each text at the lengths of the list, which suits lists of
+few lengths.  ``sums_by_prefix`` answers lists of any lengths as sums over a sorted
+layout.  In the order of bytes, the texts that start with a prefix are those from the prefix
 up to the prefix followed by a byte that no text has.  So a prefix is two points, and
 the rows under it are those between them.  The points cut all texts into gaps; each
 text is counted in its one gap, and running sums over the gaps answer every prefix.
@@ -59,11 +61,15 @@ def sums_by_prefix(df: DataFrame, column: str, prefixes: DataFrame, size: str |
     blocks = with_block(distinct, "point").groupBy("_block").agg(F.sort_array(F.collect_list("point")).alias("_points"))
     blocks = blocks.withColumn("_steps", ranges.halvings(F.size("_points")))
 
+    # Texts that agree in as many characters as the longest prefix has are counted together.
+    longest = listed.agg(F.max(F.length("prefix"))).scalar()
     amount = F.col(size) if size else F.lit(None)
-    rows = df.select(_bytes(F.col(column)).alias("_text"), amount.cast("bigint").alias("_size")).filter("_text is not null")
+    rows = df.select(F.substr(F.col(column), F.lit(1), longest).alias("_cut"), amount.cast("bigint").alias("_size"))
+    rows = rows.groupBy("_cut").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_bytes"))
+    rows = rows.select(_bytes(F.col("_cut")).alias("_text"), "_n", "_bytes").filter("_text is not null")
     # A block without points lies before the first point.
-    placed = with_block(rows, "_text").join(blocks, "_block").select("_block", ranges.place(F.col("_points"), F.col("_steps"), F.col("_text")).alias("_gap"), "_size")
-    gaps = placed.groupBy("_block", "_gap").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_bytes"))
+    placed = with_block(rows, "_text").join(blocks, "_block").select("_block", ranges.place(F.col("_points"), F.col("_steps"), F.col("_text")).alias("_gap"), "_n", "_bytes")
+    gaps = placed.groupBy("_block", "_gap").agg(F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes"))
 
     # Points of a block with the sums of the gaps before them, then of the blocks before.
     at = blocks.select("_block", F.posexplode("_points").alias("_gap", "point"))
@@ -82,6 +88,26 @@ def sums_by_prefix(df: DataFrame, column: str, prefixes: DataFrame, size: str |
     return ended.agg(*sums[: 2 if size else 1])
 
 
+def cut_at_lengths(df: DataFrame, column: str, prefixes: DataFrame, into: str = "prefix") -> DataFrame:
+    """One row per row of ``df`` and distinct prefix length that fits in its text.
+
+    The lengths come from a scalar subquery.  Their number is bounded by the
+    longest text, not by the number of prefixes.
+    """
+    lengths = prefixes.agg(F.collect_set(F.length("prefix"))).scalar()
+    cut = df.withColumn("_length", F.explode(lengths)).filter(F.col("_length") <= F.length(column))
+    return cut.withColumn(into, F.substr(F.col(column), F.lit(1), F.col("_length"))).drop("_length")
+
+
 def counts_by_prefix(df: DataFrame, column: str, prefixes: DataFrame) -> DataFrame:
-    """Number of rows under each listed prefix, 0 included."""
-    return sums_by_prefix(df, column, prefixes)
+    """Number of rows under each listed prefix, 0 included.
+
+    Cuts outside the range of the list go first; the others are counted before
+    they meet it, which leaves one row per task and cut, however hot a prefix is.
+    """
+    listed = prefixes.select("prefix").filter(F.col("prefix").isNotNull())
+    cut = cut_at_lengths(df.select(column), column, listed).select("prefix")
+    ends = listed.agg(F.struct(F.min("prefix").alias("first"), F.max("prefix").alias("last"))).scalar()
+    cut = cut.filter(F.col("prefix").between(ends["first"], ends["last"]))
+    counts = cut.groupBy("prefix").agg(F.count("*").alias("n"))
+    return listed.distinct().join(counts, "prefix", "left").select("prefix", F.coalesce("n", F.lit(0)).alias("n"))

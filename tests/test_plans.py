@@ -238,11 +238,19 @@ def test_prefixes_of_a_long_list_are_counted_before_the_join(spark, no_broadcast
     check_counts(counts)
 
 
+def test_prefixes_outside_the_list_are_dropped_before_the_shuffle(spark, tmp_path):
+    listed_prefixes(spark).write.parquet(str(tmp_path / "list"))
+    counts = prefixes.counts_by_prefix(hot_objects(spark), "key", spark.read.parquet(str(tmp_path / "list")))
+    text = plan(counts)
+    assert re.search(r"Filter .*>= Subquery", text) and text.index("partial_count") < text.index("Generate")
+    check_counts(counts)
+
+
 def test_prefix_sums_do_not_copy_rows_by_length(spark, no_broadcast):
     """One row per text and no more, whatever the number of lengths: nothing explodes on the side of the texts."""
-    few = prefixes.counts_by_prefix(hot_objects(spark), "key", listed_prefixes(spark))
+    few = prefixes.sums_by_prefix(hot_objects(spark), "key", listed_prefixes(spark))
     lengths = spark.range(1, 60).select(F.expr("repeat('h', int(id))").alias("prefix")).unionAll(listed_prefixes(spark))
-    many = prefixes.counts_by_prefix(hot_objects(spark), "key", lengths)
+    many = prefixes.sums_by_prefix(hot_objects(spark), "key", lengths)
 
     def shape(df):
         return [plan(df).count(part) for part in ("Generate", "Exchange", "Join")]

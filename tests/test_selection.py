@@ -86,8 +86,8 @@ def test_sums_by_prefix(spark, monkeypatch, blocks):
     }
     assert {r["prefix"]: (r["n"], r["bytes"]) for r in got.collect()} == want
     empty = spark.createDataFrame([], "prefix string")
-    assert prefixes.counts_by_prefix(df, "key", empty).count() == 0
-    assert [tuple(r) for r in prefixes.counts_by_prefix(df.limit(0), "key", spark.createDataFrame([("a",)], "prefix string")).collect()] == [("a", 0)]
+    assert prefixes.sums_by_prefix(df, "key", empty).count() == 0
+    assert [tuple(r) for r in prefixes.sums_by_prefix(df.limit(0), "key", spark.createDataFrame([("a",)], "prefix string")).collect()] == [("a", 0)]
 
 
 @pytest.mark.parametrize(
