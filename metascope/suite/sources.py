@@ -31,7 +31,7 @@ def _(fx):
     landed = full.select("bucket", F.to_json(F.struct("Contents")).alias("value"))
     empty = raw.select("bucket").distinct().withColumn("value", F.lit('{"KeyCount":0}'))
     path = work_dir(fx.spark, "pages")
-    landed.unionByName(empty).write.partitionBy("bucket").text(path)
+    landed.unionByName(empty).write.partitionBy("bucket").text(path, compression="gzip")
     return listings.objects(pages.read_pages(fx.spark, path, "objects"), extended=True)
 
 
