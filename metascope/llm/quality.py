@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import one_per_id, others, packed, small_batches
+from .common import drop_caches, one_per_id, others, packed, small_batches
 from .words import BASE, Words, mix, words_of
 
 WORD_BITS, SHAPE_BITS = 15, 12
@@ -103,6 +103,7 @@ def rated_features(texts: DataFrame, text: str) -> DataFrame:
     """Grade, and the features of the text with their shares of its words."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             grades, index, share = batch.column("grade").to_pylist(), [], []
             for lo, hi, words in words_of(batch.column("text"), lower=True):
@@ -169,6 +170,7 @@ def grade_quality(
     small_batches(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for batch in batches:
             n = batch.num_rows
             expected, tail = np.zeros(n), np.zeros(n)
