@@ -28,7 +28,7 @@ ON_GOOD, ON_BAD, GOOD_SHARE = (0.5, 0.49, 0.01), (0.3, 0.4, 0.3), 0.7
 
 def _removed(text: str, characters: str) -> Column:
     """How many characters of the text are among the given ones."""
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
+    return (F.length(text) - F.length(F.regexp_replace(text, f"[{characters}]+", ""))).cast("long")
 
 
 def measures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
