@@ -7,11 +7,14 @@ chosen by counting the keys and list entries of either way.  Equal sets are one
 node from the start.
 
 A list is not expanded into pairs.  First each member meets one pivot only, the
-one that most of its lists share; then of the components so found one member each
-meets the pivot of another in a list of both, in rounds; at last members of different
+one that most of its lists share.  Then, in rounds, each list with several components
+gets a member as new pivot by chance, and each node meets a few of its lists' pivots
+in other components: a large group of copies of copies so becomes one component after
+pairs in proportion to its members.  Rounds end when few pairs are links.  At last members of different
 components of a list meet, unless their distances to a common pivot rule a link
 out (Jaccard distance is a metric).  Every pair of nodes with a link either meets
-or lies in one component already, so components are exact.
+or lies in one component already, so components are exact.  Before sets are compared,
+parities of their shingles in as many slots as the sets are large rule most pairs out.
 
 Rarity comes from counts of all shingles of all documents in a table of fixed
 size; it only decides the order of shingles, never the result.
@@ -36,7 +39,7 @@ from .words import BASE, Words, mix, words_of
 SKETCH_BITS, CHUNK = 20, 1 << 15
 MEMBER_BITS = 23
 SHORT_LIST = 128
-ROUNDS = 2
+ROUNDS, MEETINGS = 6, 3
 LARGEST_BOUNDARY = 14
 BITMAP_WORDS = 16
 
@@ -66,12 +69,21 @@ def node_of(shingles: np.ndarray) -> int:
     return int(mix(np.asarray([total]))[0].astype(np.int64))
 
 
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles in each slot that hashes give; as many slots as shingles, rounded up to a power of two."""
+    size = max(BITMAP_WORDS, 1 << max(0, (len(shingles) - 1) // 64).bit_length())
+    slots = np.bincount((mix(shingles) % np.uint64(64 * size)).astype(np.int64), minlength=64 * size)
+    return np.packbits((slots & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def shortened(sketch: np.ndarray) -> np.ndarray:
+    """The sketch that fewer slots would give, the same number for all sets."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, BITMAP_WORDS), axis=0)
+
+
 def bitmap_of(shingles: np.ndarray) -> np.ndarray:
-    """A bit for each shingle, at a place that its hash gives."""
-    bits = np.zeros(BITMAP_WORDS, np.uint64)
-    slot = mix(shingles) % np.uint64(64 * BITMAP_WORDS)
-    np.bitwise_or.at(bits, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
-    return bits.view(np.int64)
+    """A sketch of the same length for every set."""
+    return shortened(sketch_of(shingles))
 
 
 @dataclass
@@ -130,40 +142,45 @@ class Plan:
 
 
 def _sets(docs: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
-    """A row per document (id, r1, r2, n, node, bits); and, with a chunk, counts of shingles in chunks of a table."""
+    """A row per document (id, r1, r2, n, node, bits, sketch); and, with a chunk, counts of shingles in chunks of a table.
+
+    The sketch is NULL where it is no longer than the bitmap.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         seen: set[int] = set()
         for batch in batches:
-            n, node, bits = [], [], []
+            n, node, bits, sketches = [], [], [], []
             for _, _, words in words_of(batch.column("text")):
                 for shingles in shingle_sets(words, k):
                     n.append(len(shingles))
-                    bits.append(bitmap_of(shingles))
+                    sketch = sketch_of(shingles)
+                    bits.append(shortened(sketch))
+                    sketches.append(sketch if len(sketch) > BITMAP_WORDS else None)
                     node.append(node_of(shingles) if len(shingles) else None)
                     if len(shingles) and node[-1] not in seen:
                         seen.add(node[-1])
                         np.add.at(counts, (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("r1"), batch.column("r2"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, longs), *none],
+                [batch.column("id"), batch.column("r1"), batch.column("r2"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, longs), pa.array(sketches, longs), *none],
                 names=names,
             )
         if seen:
             parts = counts.reshape(-1, CHUNK)
             m = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, batch.column("id").type), *[pa.nulls(m, pa.int64())] * 4, pa.nulls(m, longs), pa.array(range(m), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())],
+                [pa.nulls(m, batch.column("id").type), *[pa.nulls(m, pa.int64())] * 4, *[pa.nulls(m, longs)] * 2, pa.array(range(m), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())],
                 names=names,
             )
 
-    names, longs = ["id", "r1", "r2", "n", "node", "bits", "chunk", "counts"], pa.list_(pa.int64())
+    names, longs = ["id", "r1", "r2", "n", "node", "bits", "sketch", "chunk", "counts"], pa.list_(pa.int64())
     kind = docs.schema[id_column].dataType.simpleString()
     source = docs.select(
         F.col(id_column).alias("id"), F.col(text).alias("text"), row_hash(id_column, text, seed=1).alias("r1"), row_hash(id_column, text, seed=2).alias("r2")
     )
-    return source.mapInArrow(scan, f"id {kind}, r1 long, r2 long, n long, node long, bits array<long>, chunk int, counts binary")
+    return source.mapInArrow(scan, f"id {kind}, r1 long, r2 long, n long, node long, bits array<long>, sketch array<long>, chunk int, counts binary")
 
 
 def _sketch(found: DataFrame) -> np.ndarray:
@@ -325,20 +342,34 @@ def _differing(a: str, b: str) -> Column:
     return sum(words[1:], words[0])
 
 
+def _differing_sketches(a: Column, b: Column) -> Column:
+    """The number of bits in which two sketches differ, of which one may be twice as long."""
+    size = F.least(F.size(a), F.size(b))
+
+    def folded(x: Column) -> Column:
+        halves = F.zip_with(F.slice(x, F.lit(1), size), F.slice(x, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > size, halves).otherwise(x)
+
+    words = F.zip_with(folded(a), folded(b), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(words, F.lit(0), lambda total, x: total + x)
+
+
 def _admitted(differing: Column, a: Column, b: Column, percent: int) -> Column:
-    """Whether bitmaps leave enough for a link.
+    """Whether bitmaps or sketches leave enough for a link.
 
-    A shingle in one set only changes at most one bit, so the bits in which two
+    A shingle in one set only changes one parity, so the bits in which two
     bitmaps differ bound the overlap from above.
     """
     return _similar(F.floor((a + b - differing) / 2), a, b, percent)
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their sizes and bitmaps don't rule out."""
-    one, two = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+    """The pairs (a, b) that their sizes and sketches don't rule out."""
+    sketch = F.coalesce("sketch", "bits")
+    one, two = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), sketch.alias(f"{x}_sketch")) for x in "ab")
     both = pairs.join(one, "a").join(two, "b")
-    return both.filter(_admitted(_differing("a_bits", "b_bits"), F.col("a_n"), F.col("b_n"), percent)).select(*pairs.columns)
+    both = both.filter(_similar(F.least("a_n", "b_n"), F.col("a_n"), F.col("b_n"), percent))
+    return both.filter(_admitted(_differing_sketches(F.col("a_sketch"), F.col("b_sketch")), F.col("a_n"), F.col("b_n"), percent)).select(*pairs.columns)
 
 
 def _members(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, id_column: str, text: str, k: int) -> DataFrame:
@@ -415,10 +446,24 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", k:
     return chosen.unionByName(docs.filter(~worded))
 
 
-def _labelled(lists: DataFrame, roots: DataFrame, node: str, label: str) -> DataFrame:
-    """Lists with the component of the column ``node``."""
-    named = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
-    return lists.join(named, node, "left").withColumn(label, F.coalesce("_root", node)).drop("_root")
+def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The lists that still hold more than one component, with the component of each member as ``part``."""
+    named = roots.select("node", F.col("root").alias("part"))
+    labelled = lists.drop("part").join(named, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    mixed = labelled.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("key")
+    return labelled.join(mixed, "key", "left_semi").select(*lists.drop("part").columns, "part")
+
+
+def _by_chance(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components: each list gets a pivot by chance, each node meets some of its lists' pivots."""
+    drawn = F.min(F.struct(F.xxhash64("key", "node", F.lit(turn)).alias("chance"), "node", "n", "at", "part"))
+    pivots = lists.groupBy("key").agg(drawn.alias("p"))
+    both = lists.select("key", "node", "n", "at", "part").join(pivots, "key").filter("part <> p.part")
+    rest = F.when(F.col("at") < 0, F.least("n", "p.n")).otherwise(F.least(F.col("n") - F.col("at"), F.col("p.n") - F.col("p.at")))
+    both = both.filter(_similar(rest, F.col("n"), F.col("p.n"), percent))
+    meetings = [F.min(F.struct(F.xxhash64("p.node", F.lit(turn), F.lit(i)), F.col("p.node").alias("a"))).alias(f"m{i}") for i in range(MEETINGS)]
+    met = both.groupBy("node").agg(*meetings).select("node", F.explode(F.array_distinct(F.array(*[f"m{i}.a" for i in range(MEETINGS)]))).alias("a"))
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
 def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int) -> DataFrame:
@@ -431,17 +476,17 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     plan = Plan(k, percent, levels=_levels(counts))
     plan.boundary = choose_boundary({r["n"]: r["many"] for r in sizes}, counts, plan)
 
-    nodes = saved(rows.filter(F.col("node").isNotNull()).select("node", F.col("n").cast("int").alias("n"), "bits", "r1", "r2").dropDuplicates(["node"]), "shingle-nodes")
+    nodes = saved(rows.filter(F.col("node").isNotNull()).select("node", F.col("n").cast("int").alias("n"), "bits", "sketch", "r1", "r2").dropDuplicates(["node"]), "shingle-nodes")
     lists = saved(_lists(docs, text, plan), "shingle-lists")
 
     members: DataFrame | None = None
     tested: DataFrame | None = None
 
     def measured(pairs: DataFrame) -> DataFrame:
-        """Saved similarities of pairs; sets are made once for each node."""
+        """Saved similarities of the pairs that may be links; sets are made once for each node."""
         nonlocal members, tested
-        pairs = saved(pairs, "shingle-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
+        pairs = saved(_possible(pairs, nodes, percent), "possible-pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         if members is not None:
             wanted = wanted.join(members.select("node"), "node", "left_anti")
@@ -449,30 +494,33 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
         members = made if members is None else members.unionByName(made)
         return saved(_measured(pairs, members, percent), "shingle-links")
 
-    # What nodes and pivots of their lists may be linked, by places and then by bitmaps: the rounds read these pairs only.
+    def untested(pairs: DataFrame) -> DataFrame:
+        done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return pairs.join(done, ["a", "b"], "left_anti")
+
+    # Each node and the pivot of most of its lists, of those that places admit.
     rest = F.when(F.col("at") < 0, F.col("n")).otherwise(F.least(F.col("pivot_n") - F.col("pivot_at"), F.col("n") - F.col("at")))
     near_pivot = (F.col("node") != F.col("pivot")) & _similar(rest, F.col("pivot_n"), F.col("n"), percent)
     met = lists.filter(near_pivot).groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
-    near = saved(_possible(met, nodes, percent), "near-pivots")
+    star = met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    known = measured(saved(star, "shingle-pairs"))
 
-    # Round one: each node and the pivot of most of its lists.
-    star = near.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    known = measured(star)
-
-    # More rounds: one pair for two components that meet as pivot and member of a list.
-    for _ in range(ROUNDS):
+    # Rounds with pivots by chance, on the lists that still hold more than one component.
+    left, more = lists.select("key", "node", "n", "at", "pivot"), True
+    for turn in range(ROUNDS + 1):
         roots = saved(connected_components(known.filter("linked").select("a", "b")), "shingle-roots")
-        parts = _labelled(_labelled(near, roots, "b", "part"), roots, "a", "pivot_part").filter("part <> pivot_part")
-        one = parts.groupBy("part", "pivot_part").agg(F.min(F.struct("a", "b")).alias("p"))
-        pairs = one.select("p.a", "p.b").distinct()
-        known = known.unionByName(measured(pairs.join(tested, ["a", "b"], "left_anti")))
-    roots = saved(connected_components(known.filter("linked").select("a", "b")), "shingle-roots")
-
-    # Lists that still hold more than one component, with the distance of each member to its pivot.
-    labelled = _labelled(lists, roots, "node", "part")
-    mixed = labelled.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("key")
-    distances = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away")).distinct()
-    open_lists = labelled.join(mixed, "key", "left_semi").join(distances, ["pivot", "node"], "left")
+        left = saved(_open(left, roots), "open-lists")
+        if not more or turn == ROUNDS:
+            break
+        pairs = saved(untested(_by_chance(left, turn, percent)), "shingle-pairs")
+        met_again = measured(pairs)
+        known = known.unionByName(met_again)
+        more = met_again.filter("linked").count() * 10 > pairs.count()
+
+    # At last all members of different components, with the distance of each to its list's first pivot.
+    distances = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("away"))
+    distances = distances.union(known.select("b", "a", 1 - F.col("similarity"))).distinct()
+    open_lists = left.join(distances, ["pivot", "node"], "left")
     open_lists = open_lists.withColumn("away", F.when(F.col("pivot") == F.col("node"), F.lit(0.0)).otherwise(F.col("away")))
     open_lists = open_lists.join(nodes.select("node", "bits"), "node")
     open_lists = saved(open_lists.select("key", "node", "n", "at", "part", "pivot", "away", "bits"), "open-lists")
@@ -490,8 +538,7 @@ def classified(docs: DataFrame, id_column: str, text: str, k: int, percent: int)
     apart |= F.abs(F.col("a.away") - F.col("b.away")) <= 1 - percent / 100 + 1e-9
     fits &= _admitted(_differing("a.bits", "b.bits"), F.col("a.n"), F.col("b.n"), percent)
     across = a.join(b, fits & apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    last = measured(across.join(done, ["a", "b"], "left_anti"))
+    last = measured(saved(untested(across), "shingle-pairs"))
     links = known.unionByName(last).filter("linked").select("a", "b")
     roots = connected_components(links)
     return rows.join(roots, "node", "left").select("id", "r1", "r2", "n", F.coalesce("root", "node").alias("root"))

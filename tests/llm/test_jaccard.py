@@ -5,6 +5,7 @@ import numpy as np
 from cases import docs, lower, odd_rows, plain, prose, words
 
 from metascope.llm import jaccard
+from metascope.llm.common import saved
 from metascope.llm.components import connected_components
 
 
@@ -115,3 +116,25 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 201)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 140), 100), 200: 200, 201: 200}
+
+
+def test_a_group_of_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies of one text, two of which are links about every second time: pairs in proportion to the members."""
+    rng = random.Random(8)
+    base = " ".join(f"w{i}" for i in range(200))
+    texts = [changed(base, rng.randrange(2, 4), rng) for _ in range(150)]
+    compared, measured = [], jaccard._measured
+    monkeypatch.setattr(jaccard, "_measured", lambda pairs, *a: compared.append(pairs.count()) or measured(pairs, *a))
+    assert found(plain(spark, texts)) == brute(list(enumerate(texts)))
+    assert sum(compared) < 8 * len(texts)
+
+
+def test_large_sets_without_a_link_are_told_apart_by_sketches(spark):
+    rng = random.Random(9)
+    large = [" ".join(f"{g}x{rng.randrange(10**6)}" for _ in range(1900)) for g in range(3)]
+    texts = [*large, changed(large[0], 20, rng), large[1] + " " + " ".join(f"more{i}" for i in range(190))]
+    sets = saved(jaccard._sets(plain(spark, texts), "doc_id", "text", 5).filter("chunk is null"), "test-sets")
+    node = {r["id"]: r["node"] for r in sets.collect()}
+    pairs = [(0, 1), (0, 2), (1, 2), (2, 4), (0, 3), (1, 4)]
+    left = jaccard._possible(spark.createDataFrame([(node[a], node[b]) for a, b in pairs], "a long, b long"), sets, 80)
+    assert {(r["a"], r["b"]) for r in left.collect()} == {(node[0], node[3]), (node[1], node[4])}
