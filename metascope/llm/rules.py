@@ -55,9 +55,12 @@ def measures(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         F.size(F.filter("lines", lambda x: x.rlike(f"""[.?!:"'…][{ASCII_SPACE}]*$"""))).cast("long").alias("n_closed"),
         "n_upper",
         "n_shouts",
-        # The word at a place and the next seven, as one number; pairs, then fours, then eights.
-        _joined(_joined(_joined(F.col("h"), 1), 2), 4).alias("spans"),
+        F.col("h").alias("spans"),
     )
+    # The word at a place and the next seven, as one number; pairs, then fours, then eights.
+    # One projection each: an expression in an expression would be evaluated anew for each of its uses.
+    for step in (1, 2, 4):
+        df = df.withColumn("spans", _joined(F.col("spans"), step))
     return df.select("*", repeated_words("spans").alias("n_repeat_words")).drop("spans")
 
 
